@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Remembered pre-tokens in a worker; a cache only: beyond it, the memory starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 #: Longer pre-tokens are not remembered.
 REMEMBERED_CHARS = 64
 
@@ -83,8 +83,11 @@ class Tokenizer:
         self.ranks, self.pattern = ranks, pattern
         self.hash = PerfectHash(list(ranks))
         self.ids = [ranks.get(k, -1) for k in self.hash.keys]
-        self.bytes_of = {v: k for k, v in ranks.items()}
-        self.text_of = {v: str(v) for v in self.bytes_of}
+        size = max(ranks.values(), default=-1) + 1
+        self.bytes_of: list[bytes | None] = [None] * size  # by id, as ids are dense
+        for k, v in ranks.items():
+            self.bytes_of[v] = k
+        self.text_of = [str(i) for i in range(size)]
         self.find = regex.compile(pattern).findall
         self.memory: dict[str, tuple[int, ...]] = {}
         self.units: dict[str, tuple[int, ...]] = {}
