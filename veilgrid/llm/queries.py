@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, decontaminate, license_scan, line_dedup, pii, quality, substring, suffix_array
+from . import bpe, compression, decontaminate, license_scan, line_dedup, near_dup, pii, quality, substring, suffix_array
 from .common import documents, tune
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -56,8 +56,12 @@ def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, tune(spark).read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.digest(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_license_scan, op4_pii_spans, op5_substring_dedup, op6_line_chunks, op7_suffix_array_dedup, op8_compression_rules, op9_quality_ranking)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_license_scan, op4_pii_spans, op5_substring_dedup, op6_line_chunks, op7_suffix_array_dedup, op8_compression_rules, op9_quality_ranking, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
