@@ -1,10 +1,20 @@
-"""Corpus preparation as a chain of stages, each written as Parquet and read again as the next one's documents."""
+"""Corpus preparation as a chain of stages, each written as Parquet and read again as the next one's documents.
+
+1. quality rules: documents outside the compression bands, too short or too repetitive go;
+2. line dedup: repeated multi-line chunks are cut from the texts, the documents stay;
+3. near duplicates: one document of each component stays;
+4. decontamination: documents that hold a benchmark item go;
+5. byte-level BPE: token counts and digests of the ids and of what they decode to.
+
+All stages but the last return the columns of ``documents``, whatever they are. Every stage works on all rows
+of its predecessor. An empty table passes through; null texts fail the first stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilgrid.llm import common, compression
+from veilgrid.llm import bpe, common, compression, decontaminate, line_dedup, near_dup, queries
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,7 +22,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return compression.keep(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tune(spark)
+    return line_dedup.dedup(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tune(spark)
+    return near_dup.dedup(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tune(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tune(spark)
+    return bpe.digest(docs, *queries.tokenizer())
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_chunks), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
+
+#: The compression bands and the similarity join are beyond SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
