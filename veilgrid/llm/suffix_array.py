@@ -7,7 +7,9 @@ suffixes follow from their first byte and the next sampled rank, and are merged.
 in 200 bytes are repeats. As no more than 200 bytes matter, naming stops once names stand for that many.
 
 Segments that are equal as a whole are repeats without sorting, and one that has its anchor to itself can equal no
-other, so only anchors with several distinct segments are sorted.
+other, so only anchors with several distinct segments are sorted. An anchor whose distinct segments fill more than
+a sort holds (2 MB; a passage in thousands of different surroundings) is settled by hashes of its windows and
+a comparison of their bytes.
 
 Rows alike in id and text are two places and remove each other's bytes. Null, empty and short texts keep all bytes.
 """
@@ -91,7 +93,7 @@ class Bytes(Method):
     ordered = False
     unit_type = np.uint8
 
-    def __init__(self, length: int = 200, memory: int = 1 << 20, **shape: int):
+    def __init__(self, length: int = 200, memory: int = 1 << 19, **shape: int):
         gram = 32 if length >= 64 else 8
         self.shape = Shape(length=length, gram=gram, **{"one_in": 16 if length >= 128 else 1, **shape})
         self.memory = memory  # bytes sorted at once; symbols must stay under 2^21
@@ -138,20 +140,12 @@ class Bytes(Method):
         return np.split(flags, np.cumsum([int(p["count"].sum()) for p in parts])[:-1])
 
     def _sort(self, x: np.ndarray, begin: np.ndarray, n: np.ndarray, at: np.ndarray, chosen: np.ndarray, window: np.ndarray) -> None:
-        """Sort some segments; an anchor too large for one sort is parted by its windows' hashes, which keeps equals together."""
-        size = int((n[chosen] + self.shape.length).sum())
-        if size < 1 << 21:
+        """Sort some segments; one anchor with more text than a sort holds is settled by its windows' hashes and bytes."""
+        if int((n[chosen] + self.shape.length).sum()) < 1 << 21:
             window[spread(at[chosen], n[chosen])] |= repeated(x, begin[chosen], n[chosen], self.shape.length)
             return
         starts, places = spread(begin[chosen], n[chosen]), spread(at[chosen], n[chosen])
-        h = self._window_hash(x, starts)
-        parts = int((len(starts) * (self.shape.length + 1)) // self.memory) + 1
-        for _, some in _runs(h % U(parts)):
-            for i in range(0, len(some), 1 << 13) if len(some) * (self.shape.length + 1) >= 1 << 21 else [None]:
-                if i is not None:  # equal windows fill more than a sort holds: equal hashes are compared by their bytes
-                    self._equal(x, starts[some], places[some], h[some], window)
-                    break
-                window[places[some]] |= repeated(x, starts[some], np.ones(len(some), np.int64), self.shape.length)
+        self._equal(x, starts, places, self._window_hash(x, starts), window)
 
     def _window_hash(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
         h = np.zeros(len(starts), U)
@@ -177,11 +171,6 @@ class Bytes(Method):
         return {"n_bytes": [len(b) for b in bodies], "n_removed": gone, "n_spans": spans, "kept_sha256": sha}
 
 
-def _runs(values: np.ndarray):
-    order = np.argsort(values, kind="stable")
-    return ((0, x) for x in np.split(order, np.flatnonzero(np.diff(values[order])) + 1) if len(x))
-
-
 def dedup(df: DataFrame, **settings: int) -> DataFrame:
     """For each document its bytes, the bytes removed, the runs they form and a digest of what is left."""
     return apply(df, Bytes(**settings))
