@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -44,3 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(at)
     return at
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that later steps start from files that outlive executors."""
+    path = f"{shared_dir(df.sparkSession)}/veilgrid/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
