@@ -7,10 +7,11 @@ Equal sets are one class from the start. Classes then pass down independent tree
 are told apart by the same minwise token or tokens, picked by the node's own hash, and those with equal tokens
 go on to the same child. Nodes of up to ``limit`` classes are compared exhaustively on full sets; larger ones
 branch further, by three tokens a step, to 2.37 children a class on average (the third power of 1 / 0.75). At the
-root a linked pair meets in one tree with probability 0.75 or more, so ``trees`` = 20 leaves 1e-12 of pairs apart
+root a linked pair meets in one tree with probability 0.75 or more, so ``trees`` = 12 leaves 6e-8 of pairs apart
 where nodes are small; each further step keeps at least 0.7 of a pair's chances.
 
-Links matter, not pairs. First every class is compared with its node's least class in a few trees. Classes
+Links matter, not pairs. First every class is compared with the centre of its node in a few trees: the class that agrees
+most with the node's most frequent tokens, which among copies of one text is the text itself. Classes
 that this joins need no more comparing with each other, so a node whose classes are all joined is done and thousands of
 copies cost one comparison each. Elsewhere 64 minwise tokens rule out pairs that agree in fewer than 28 (at 0.75, one
 in 1e7 does); what is left meets with its texts, all intersections of a node are counted by one matrix product, and
@@ -42,11 +43,12 @@ U = np.uint64
 class Settings:
     shingle: int = 5
     percent: int = 75
-    trees: int = 20
+    trees: int = 12
     star_trees: int = 3
+    star_tokens: int = 16
     tokens: int = 64
     agree: int = 28
-    limit: int = 512
+    limit: int = 4096
     steps: int = 5
     seed: int = 1
 
@@ -66,14 +68,14 @@ def shingle_set(body: bytes, width: int) -> np.ndarray:
 
 
 def minwise(s: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The least hash of a set under each of several hash functions, as 32-bit numbers."""
-    out = np.full(len(factors), (1 << 32) - 1, np.uint32)
+    """The least hash of a set under each of several hash functions."""
+    out = np.full(len(factors), (1 << 64) - 1, U)
     for i in range(0, len(s), 4096):
         x = s[i : i + 4096, None] * factors[None, :]
         x ^= x >> U(32)
         x *= U(0xD6E8FEB86659FD93)
-        out = np.minimum(out, (x >> U(32)).astype(np.uint32).min(axis=0))
-    return out
+        out = np.minimum(out, x.min(axis=0))
+    return out ^ (out >> U(31))
 
 
 def factors(settings: Settings) -> np.ndarray:
@@ -81,22 +83,24 @@ def factors(settings: Settings) -> np.ndarray:
     return rng.integers(0, 1 << 63, settings.tokens, dtype=np.int64).astype(U) * U(2) + U(1)
 
 
-SKETCH = "doc_id long, row long, n_shingles long, cid long, sig array<int>"
+SKETCH = "doc_id long, row long, n_shingles long, cid long, roots array<long>, sig array<short>"
 
 
 def sketches(df: DataFrame, settings: Settings) -> DataFrame:
-    """Ids, row keys, set sizes, the class of each set and its minwise tokens; empty sets have no class."""
+    """Ids, row keys, set sizes, the class of each set, its minwise tokens at the roots and 16 bits of all its tokens; empty sets have no class."""
     f = factors(settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cid, sig = [], [], []
+            n, cid, roots, sig = [], [], [], []
             for body in batch.column(2).to_pylist():
                 s = shingle_set(body, settings.shingle)
                 n.append(len(s))
                 cid.append(class_of(s))
-                sig.append(minwise(s, f).view(np.int32).tolist() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(sig, pa.list_(pa.int32()))], names=["doc_id", "row", "n_shingles", "cid", "sig"])
+                tokens = minwise(s, f) if len(s) else None
+                roots.append(None if tokens is None else tokens[: settings.trees].view(np.int64))
+                sig.append(None if tokens is None else tokens.astype(np.uint16).view(np.int16))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(roots, pa.list_(pa.int64())), pa.array(sig, pa.list_(pa.int16()))], names=["doc_id", "row", "n_shingles", "cid", "roots", "sig"])
 
     return _bodies(df).mapInArrow(run, SKETCH)
 
@@ -162,6 +166,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return labels.union(e.select(F.col("b").alias("cid"), F.col("b").alias("label"))).distinct()
 
 
+def _stars(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of each class and the centre of its node."""
+    at = range(0, settings.tokens, max(1, settings.tokens // settings.star_tokens))
+    usual = rows.groupBy("node").agg(F.array(*(F.mode(F.get("sig", F.lit(i)), True) for i in at)).alias("usual"))
+    agree = sum(((F.get("sig", F.lit(i)) == F.get("usual", F.lit(k))).cast("int") for k, i in enumerate(at)), F.lit(0))
+    scored = rows.join(usual, "node").select("node", "cid", agree.alias("agree"))
+    centre = scored.groupBy("node").agg(F.max_by("cid", F.struct("agree", "cid")).alias("b"))
+    return rows.select("node", F.col("cid").alias("a")).join(centre, "node").where("a <> b").select("a", "b").distinct()
+
+
 def _told(rows: DataFrame) -> DataFrame:
     """Rows of nodes whose classes are not all joined, with the node's size ``n``."""
     nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node", "n")
@@ -200,11 +214,12 @@ def _promising(rows: DataFrame, settings: Settings, buckets: int) -> DataFrame:
         subs, cids, labels = [], [], []
         for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False):
             keep = np.zeros(z - a, bool)
-            for i in range(z - a - 1):
-                near = ((sig[a + i + 1 : z] == sig[a + i]).sum(axis=1) >= settings.agree) & (label[a + i + 1 : z] != label[a + i])
+            own_sig, own_label = sig[a:z], label[a:z]
+            for i in np.flatnonzero(own_label != most_frequent(own_label)).tolist():  # any other pair is joined already
+                near = (np.count_nonzero(own_sig == own_sig[i], axis=1) >= settings.agree) & (own_label != own_label[i])
                 if near.any():
                     keep[i] = True
-                    keep[i + 1 :] |= near
+                    keep |= near
             if keep.any():
                 own = np.flatnonzero(keep) + a
                 subs.append(np.full(len(own), xxhash.xxh3_64_intdigest(cid[own].tobytes()) - (1 << 63)))
@@ -216,26 +231,27 @@ def _promising(rows: DataFrame, settings: Settings, buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.pmod("node", F.lit(buckets))).groupBy("bucket").applyInArrow(run, "sub long, cid long, label long")
 
 
-def links_of(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Places of linked sets that join components, each join once; all intersections by a matrix product."""
+def most_frequent(label: np.ndarray) -> int:
+    values, count = np.unique(label, return_counts=True)
+    return int(values[np.argmax(count)])
+
+
+def links_of(sets: list[np.ndarray], label: np.ndarray, percent: int, block: int = 512, width: int = 2048) -> list[tuple[int, int]]:
+    """Places of linked sets that join components, each join once; intersections by matrix products, block by block.
+
+    The largest component's members need no comparing with each other, so only the others have rows of their own.
+    """
     n = len(sets)
     who = np.repeat(np.arange(n), [len(s) for s in sets])
-    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count[column] > 1  # a shingle of one set meets none
     who, column = who[shared], column[shared]
     _, column = np.unique(column, return_inverse=True)
-    both = np.zeros((n, n), np.float32)
     order = np.argsort(column, kind="stable")
     who, column = who[order], column[order]
-    width = 4096
     edges = np.searchsorted(column, np.arange(0, int(column.max(initial=-1)) + 1 + width, width))
-    for k, (a, z) in enumerate(zip(edges, edges[1:], strict=False)):
-        x = np.zeros((n, width), np.float32)
-        x[who[a:z], column[a:z] - k * width] = 1
-        both += x @ x.T
     size = np.array([len(s) for s in sets])
-    common_ = np.rint(both).astype(np.int64)
-    linked = 100 * common_ >= percent * (size[:, None] + size[None, :] - common_)
+    others = np.flatnonzero(label != most_frequent(label))
     root = {int(x): int(x) for x in label}
 
     def find(x: int) -> int:
@@ -245,11 +261,21 @@ def links_of(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[tu
         return x
 
     out = []
-    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
-        a, b = find(int(label[i])), find(int(label[j]))
-        if a != b:
-            root[a] = b
-            out.append((i, j))
+    for begin in range(0, len(others), block):
+        rows = others[begin : begin + block]
+        both = np.zeros((len(rows), n), np.float32)
+        for k, (a, z) in enumerate(zip(edges, edges[1:], strict=False)):
+            x = np.zeros((n, width), np.float32)
+            x[who[a:z], column[a:z] - k * width] = 1
+            both += x[rows] @ x.T
+        both = both.astype(np.float64)
+        linked = 100 * both >= percent * (size[rows][:, None] + size[None, :] - both)
+        linked[np.arange(len(rows)), rows] = False
+        for i, j in np.argwhere(linked).tolist():
+            a, b = find(int(label[rows[i]])), find(int(label[j]))
+            if a != b:
+                root[a] = b
+                out.append((int(rows[i]), j))
     return out
 
 
@@ -277,17 +303,17 @@ def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[Data
     """Sketches of all documents, classes with their least document, and links between classes."""
     spark = df.sparkSession
     docs = common.stored(sketches(df, settings), "sketches")
-    whole = docs.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("sig").alias("sig"))
+    whole = docs.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("roots").alias("roots"), F.first("sig").alias("sig"))
     classes = common.stored(whole, "classes")
     # the root of each tree parts classes by one token
-    tokens = classes.select("cid", F.posexplode(F.slice("sig", 1, settings.trees)).alias("tree", "token"))
+    tokens = classes.select("cid", F.posexplode("roots").alias("tree", "token"))
     rows = tokens.select(F.xxhash64("tree", "token").alias("node"), "tree", "cid")
-    nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("least")).where("n > 1").select("node", "least")
+    nodes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     members = common.stored(rows.join(nodes, "node"), "members")
     active = members.select("cid").distinct()
     texts = common.stored(class_texts(df, classes.join(active, "cid", "left_semi"), settings), "texts")
-    stars = members.where((F.col("tree") < settings.star_trees) & (F.col("cid") != F.col("least"))).select(F.col("cid").alias("a"), F.col("least").alias("b")).distinct()
     sig = classes.select("cid", "sig")
+    stars = _stars(members.where(F.col("tree") < settings.star_trees).select("node", "cid").join(sig, "cid"), settings)
     alike = F.aggregate(F.zip_with("x", "y", lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, v: acc + v)
     near = stars.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("y")), "b").where(alike >= settings.agree).select("a", "b")
     links = common.stored(confirmed(near, texts, settings), "links")
@@ -320,7 +346,7 @@ def resolve(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     named = classes.select("cid", "rep").join(labels, "cid", "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
     component = named.join(least, "label").select("cid", "component")
-    out = docs.drop("sig").join(component, "cid", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    out = docs.select("doc_id", "row", "n_shingles", "cid").join(component, "cid", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "row", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
