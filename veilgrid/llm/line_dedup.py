@@ -115,11 +115,11 @@ def _without(text, first, stop):
 
 def dedup(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """The documents with all their columns, repeated chunks cut from ``text``; ``n_chars`` follows if there."""
-    mark = "__row__"
-    gone = removed(df, settings).withColumnRenamed("row", mark)
+    mark, cut = "__row__", "__gone__"
+    gone = removed(df, settings).withColumnRenamed("row", mark).withColumnRenamed("gone", cut)
     joined = df.withColumn(mark, F.xxhash64("doc_id", "text")).join(gone, mark, "left")
-    text = F.arrow_udf(_without, "string")(F.col("text"), F.col("gone.first"), F.col("gone.stop"))
-    out = joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text))
+    text = F.arrow_udf(_without, "string")(F.col("text"), F.col(f"{cut}.first"), F.col(f"{cut}.stop"))
+    out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(text))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
     return out.select(*(f"`{c}`" for c in df.columns))
