@@ -1,0 +1,381 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+from veilgrid.llm import anchors, bpe, common, compression, decontaminate, license_scan, line_dedup, near_dup, pii, quality, substring, suffix_array
+
+SCHEMA = "doc_id long, text string"
+VOCABULARY = [f"w{i}" for i in range(400)] + ["Éa", "ß", "漢字", "a-b", "x,"]
+
+
+def words(rng, n):
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+def corpus(seed=0, n=60):
+    """Random texts with exact and near copies, shared passages, odd white space, empty and null ones."""
+    rng = random.Random(seed)
+    passage, text = words(rng, 40), words(rng, 120)
+    rows = [(0, None), (1, ""), (2, " \n\t "), (3, "one"), (4, "two words"), (5, text), (6, text), (7, text + " end"), (8, "ab" * 900), (9, "x " * 700)]
+    for i in range(10, n):
+        kind = rng.randrange(5)
+        t = words(rng, rng.randrange(1, 160))
+        if kind == 0:
+            t = t + "\n" + passage + "\n" + words(rng, 10)
+        elif kind == 1:
+            w = text.split()
+            for _ in range(rng.randrange(6)):
+                w[rng.randrange(len(w))] = rng.choice(VOCABULARY)
+            t = " ".join(w)
+        elif kind == 2:
+            t = t.replace(" ", rng.choice(["\n", "\t", "  ", " \n "]), 5)
+        rows.append((i, t))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+def frame(spark, rows, extra=True):
+    """The documents with columns whose names clash with those that operators make."""
+    df = common.tune(spark).createDataFrame(rows, SCHEMA)
+    names = ("row", "body", "cid", "g", "gone", "spans", "label", "node", "item_id", "x", "n_words", "first_word")
+    return df.withColumns({n: F.lit("clash") for n in names}) if extra else df
+
+
+def got(df, width):
+    return sorted(tuple(r)[:width] for r in df.collect())
+
+
+def test_substring_matches_plain(spark, rows):
+    assert got(substring.dedup(frame(spark, rows)), 4) == sorted(plain.substring(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substring_small_groups(spark, seed):
+    """Many groups, buckets, pieces and subtrees give the same rows."""
+    rows = corpus(seed)
+    assert got(substring.dedup(frame(spark, rows, False), memory=20, piece=64, group_bytes=2000, bucket_bytes=2000), 4) == sorted(plain.substring(rows))
+
+
+def test_suffix_array_matches_plain(spark, rows):
+    assert got(suffix_array.dedup(frame(spark, rows)), 5) == sorted(plain.suffix_array(rows))
+
+
+@pytest.mark.parametrize("length", [9, 64, 130])
+def test_suffix_array_lengths(spark, length):
+    rows = corpus(length)
+    df = suffix_array.dedup(frame(spark, rows, False), length=length, memory=3000, piece=512, group_bytes=4000, bucket_bytes=4000)
+    assert got(df, 5) == sorted(plain.suffix_array(rows, length))
+
+
+def test_suffix_array_repeated_rows(spark):
+    text = "".join(random.Random(3).choice("abc ") for _ in range(300))
+    rows = [(1, text), (1, text), (2, "z" + text)]
+    assert got(suffix_array.dedup(frame(spark, rows)), 5) == sorted(plain.suffix_array(rows))
+    rows = [(1, words(random.Random(4), 30))] * 2
+    assert got(substring.dedup(frame(spark, rows)), 4) == sorted(plain.substring(rows))
+
+
+@pytest.mark.parametrize("enough", [10_000, 200])
+def test_suffix_order(enough):
+    rng = np.random.default_rng(5)
+    for n in [*range(12), 50, 301, 700]:
+        for letters in (1, 2, 5):
+            t = rng.integers(1, letters + 1, n)
+            order = suffix_array.suffix_order(t, enough)
+            assert sorted(order.tolist()) == list(range(n))
+            suffixes = [t[i : i + min(enough, n)].tolist() for i in order]
+            assert suffixes == sorted(suffixes)
+
+
+def test_large_anchor_is_settled_by_hashes():
+    rng = np.random.default_rng(6)
+    m = suffix_array.Bytes(length=16, memory=100)
+    x = rng.integers(97, 99, 400).astype(np.uint8)
+    starts, places, flags = np.arange(380), np.arange(380), np.zeros(380, bool)
+    m._equal(x, starts, places, m._window_hash(x, starts), flags)
+    seen = [x[i : i + 16].tobytes() for i in range(380)]
+    assert flags.tolist() == [seen.count(s) > 1 for s in seen]
+
+
+def test_anchors_cover_each_window_once():
+    rng = np.random.default_rng(7)
+    for one_in, letters in ((1, 50), (8, 50), (1, 1), (8, 2)):
+        shape = anchors.Shape(length=20, gram=5, one_in=one_in)
+        sizes = [0, 3, 20, 21, 100, 19, 64]
+        h = anchors.mixed(rng.integers(0, letters, sum(sizes)).astype(np.uint64))
+        high = np.cumsum(sizes)
+        low = high - np.array(sizes)
+        piece, s, e, c = anchors.runs(h.copy(), low, high, shape)
+        covered = sorted(w for a, b in zip(s.tolist(), e.tolist(), strict=True) for w in range(a, b + 1))
+        assert covered == [w for a, b in zip(low.tolist(), high.tolist(), strict=True) for w in range(a, b - 19)]
+        for a, b, p in zip(s.tolist(), e.tolist(), c.tolist(), strict=True):
+            for w in range(a, b + 1):
+                assert p == w + int(np.argmin(h[w : w + shape.grams]))
+
+
+def test_deep_nodes_are_windows():
+    x = np.random.default_rng(8).integers(0, 3, 300).astype(np.uint64)
+    suffixes = np.arange(280)
+    for memory in (5, 50, 1000):
+        node = substring.deep_nodes(x, suffixes, 6, memory)
+        by = {}
+        for i, n in zip(suffixes.tolist(), node.tolist(), strict=True):
+            by.setdefault(n, set()).add(tuple(x[i : i + 6].tolist()))
+        assert all(len(v) == 1 for v in by.values()) and len(by) == len({tuple(x[i : i + 6].tolist()) for i in range(280)})
+
+
+def test_near_duplicates_match_plain(spark, rows):
+    assert got(near_dup.digest(frame(spark, rows)), 4) == sorted(plain.near_duplicates(rows))
+
+
+@pytest.mark.parametrize("limit", [2, 8])
+def test_near_duplicates_large_nodes(spark, limit):
+    """Nodes over the limit branch and end in blocks; nothing is lost."""
+    rng = random.Random(9)
+    base = words(rng, 80).split()
+    rows = []
+    for i in range(70):
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(80)] = f"v{rng.randrange(30)}"
+        rows.append((i, " ".join(w)))
+    df = frame(spark, rows, False)
+    assert got(near_dup.digest(df, near_dup.Settings(limit=limit, steps=1, star_trees=0 if limit == 2 else 1)), 4) == sorted(plain.near_duplicates(rows))
+
+
+def test_near_duplicates_edges(spark):
+    rows = [(3, "a b c d e f g"), (1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (4, ""), (5, "A  B c d E f g"), (6, "p q"), (7, "P q")]
+    out = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.digest(frame(spark, rows)).collect()}
+    assert out == {(3, 3, 1, False), (1, 3, 1, True), (2, 0, 2, True), (4, 0, 4, True), (5, 3, 1, False), (6, 1, 6, True), (7, 1, 6, False)}
+    left = near_dup.dedup(frame(spark, rows))
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2, 4, 6] and left.columns == frame(spark, rows).columns
+
+
+def test_links_of_blocks():
+    rng = np.random.default_rng(10)
+    base = rng.integers(0, 1 << 60, 200).astype(np.uint64)
+    sets = [np.unique(rng.choice(base, 150)) for _ in range(40)]
+    label = np.arange(40)
+    for block, width in ((512, 2048), (7, 16)):
+        links = near_dup.links_of(sets, label, 60, block, width)
+        assert all(100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j])) for i, j in links)
+        pairs = [(i, j) for i in range(40) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j]))]
+        assert parts(links) == parts(pairs)
+
+
+def parts(pairs):
+    root = list(range(40))
+    for a, b in pairs:
+        x, y = root[a], root[b]
+        root = [y if r == x else r for r in root]
+    return sorted(sorted(i for i in range(40) if root[i] == r) for r in set(root))
+
+
+def test_components_of_long_paths(spark):
+    edges = common.tune(spark).createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95)], "a long, b long")
+    out = dict(near_dup.components(edges).collect())
+    assert out == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90}
+
+
+def test_pii_matches_plain(spark):
+    rng = random.Random(11)
+    bits = ["a@b.co", "x.y@z-1.example.com@q.r", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (212) 555-0199", "+1--2", "+12345678", "é", "😀", "token = \"" + "ab12" * 10 + "\"", "12345678901234567890", "@", "a@", ".", "0001.02.03.004"]
+    rows = [(i, rng.choice(["", " ", ", "]).join(rng.choice(bits) for _ in range(rng.randrange(1, 12)))) for i in range(150)] + [(900, None), (901, ""), (902, "7" * 5000), (903, "a" * 5000 + "@"), (904, "1." * 3000), (905, "+1" + " " * 4000)]
+    out = pii.digest(frame(spark, rows))
+    assert got(out, 6) == sorted(plain.pii(rows))
+    for r in out.collect():
+        base = [x for x in r.spans.split(",") if x.split(":")[0] in pii.NAMES[:4]]
+        assert len(base) >= r.n_email + r.n_ip + r.n_card + r.n_phone
+
+
+def test_pii_estimation_tells_labelers_apart():
+    counts = [("email", (1, 0, 1, 1, 1, 0), 50), ("email", (1, 0, 1, 0, 1, 0), 40), ("card", (-1, -1, -1, 0, -1, -1), 60), ("card", (1, 1, 1, 0, 1, 1), 30), ("card", (-1, -1, 1, 0, 1, 0), 10)]
+    q, rates = pii.estimate(counts)
+    assert q[0] > 0.9 and q[2] < 0.1 and q[3] > 0.9
+    assert all(t > f for t, f in (rates[0], rates[1]))
+
+
+def test_license_base_matches_plain(spark):
+    rng = random.Random(12)
+    bits = ["MIT License", "mit-license", "Apache License", "general public license", "GENERAL PUBLIC", "license", "ümit license", "mit", "foo9", "é", "apache\nlicense"]
+    rows = [(i, rng.choice([" ", ", ", ". "]).join(rng.choice(bits) for _ in range(rng.randrange(12)))) for i in range(120)] + [(500, None), (501, "")]
+    out = license_scan.scan(frame(spark, rows))
+    assert sorted(map(repr, got(out, 6))) == sorted(map(repr, plain.license_base(rows)))
+    assert all(0 <= r.score <= 1 and set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""} for r in out.collect())
+
+
+def test_license_templates():
+    a = license_scan.Automaton({"t": 'one <<beginOptional>>two <<beginOptional>>three<<endOptional>><<endOptional>> four <<var;name="x";match="a b|c">> five', "g": 'start <<var;name="y";match=".+">> stop', "h": 'go <<var;name="z";match=".{0,2}">> end'})
+    accepted = lambda text: sorted(a.labels(license_scan.words_of(text.encode())))
+    assert accepted("x one two three four a b five y") == accepted("ONE, four: c five") == accepted("one two four c five") == ["t"]
+    assert accepted("one three four c five") == accepted("one four b five") == accepted("one four five") == accepted("one four c c five") == []
+    assert accepted("start anything at all stop") == ["g"] and accepted("start stop") == []
+    assert accepted("go end") == accepted("go 1 2 end") == ["h"] and accepted("go 1 2 3 end") == []
+    every = license_scan.Automaton(license_scan.TEMPLATES)
+    plain_text = re.sub(r"<<[^>]*>>", " ", license_scan.TEMPLATES["bsd-text"])
+    assert "bsd-text" in every.labels(license_scan.words_of(plain_text.encode()))
+    assert "bsd-text" not in every.labels(license_scan.words_of(plain_text.replace("retain", "keep").encode()))
+
+
+def test_quality_rules_match_plain(spark, rows):
+    out = compression.score(frame(spark, rows))
+    assert got(out, 7) == sorted(plain.quality(rows))
+    assert all(not (r.kept and r.base_failed) for r in out.collect())
+    kept = {r.doc_id for r in out.collect() if r.kept}
+    left = compression.keep(frame(spark, rows))
+    assert {r.doc_id for r in left.collect()} == kept and left.columns == frame(spark, rows).columns
+
+
+def test_compression_bands():
+    rng = random.Random(13)
+    prose = words(rng, 400).encode()
+    noise = "".join(chr(rng.randrange(33, 126)) for _ in range(9000)).encode()
+    kept = compression.NAMES.index("kept")
+    assert compression.measure(prose)[kept]
+    spaced = b" ".join(noise[i : i + 9] for i in range(0, 9000, 9))
+    assert not compression.measure(spaced)[kept]
+    line = words(rng, 60).encode()
+    assert not compression.measure(line * 200)[kept]
+
+
+def test_quality_ranking_separates(spark):
+    rng = random.Random(14)
+    good = [(i, words(rng, rng.randrange(30, 200))) for i in range(0, 300, 2)]
+    bad = [(i, " ".join(w + "***" for w in words(rng, rng.randrange(30, 200)).split())) for i in range(1, 300, 2)]
+    df = frame(spark, [*good, *bad, (998, None), (999, "")])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(300)] + [(5000, 1), (None, 0)], "doc_id long, quality int")
+    model = quality.train(df, labels)
+    out = quality.score(df, model).collect()
+    assert len(out) == 302 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out)
+    held = [r for r in out if r.held_out and r.doc_id < 300]
+    assert len(held) > 30 and sum(r.predicted == 1 - r.doc_id % 2 for r in held) >= 0.97 * len(held)
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
+    blank = quality.train(df, labels.limit(0))
+    assert [r.score for r in quality.score(df.limit(3), blank).collect()] == [pytest.approx(0.3)] * 3
+
+
+def test_decontamination_matches_plain(spark):
+    rng = random.Random(15)
+    items = [(i, words(rng, n)) for i, n in enumerate([1, 3, 5, 12, 30, 30, 45, 60])] + [(90, None), (91, "")]
+    rows = [(0, None), (1, "")]
+    for i in range(2, 60):
+        t = words(rng, rng.randrange(0, 80)).split()
+        k, item = rng.choice(items[3:8])
+        w = item.split()
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            w[rng.randrange(len(w))] = rng.choice(VOCABULARY)
+        if i % 3:
+            t = t + w + words(rng, 5).split()
+        rows.append((i, " ".join(t)))
+    df, table = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = plain.leaks(rows, items, license_scan.words_of)
+    assert len(want) > 15
+    for settings in (decontaminate.DEFAULT, decontaminate.Settings(block_bytes=300, windows_at_once=3)):
+        found = decontaminate.matches(df, table, settings).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == want
+    left = decontaminate.clean(df, table)
+    assert {r.doc_id for r in left.collect()} == {d for d, _ in rows} - {d for d, _ in want} and left.columns == df.columns
+    assert decontaminate.clean(df, table.limit(0)).count() == len(rows)
+
+
+def test_hamming_index_finds_all():
+    rng = np.random.default_rng(16)
+    stored = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    asked = stored[:50] ^ (np.uint64(1) << rng.integers(0, 63, (24, 50)).astype(np.uint64)).T.reshape(50, 24)[:, 0]
+    for radius in (0, 3, 24):
+        who, what = decontaminate.HammingIndex(stored, radius).near(asked)
+        want = {(i, j) for i in range(50) for j in range(200) if int(asked[i] ^ stored[j]).bit_count() <= radius}
+        assert set(zip(who.tolist(), what.tolist(), strict=True)) == want
+
+
+def test_line_chunks_match_plain(spark):
+    rng = random.Random(17)
+    shared = [words(rng, 6) for _ in range(14)]
+    rows = [(0, None), (1, ""), (2, "one line"), (3, "\n".join(shared)), (4, "\n".join(shared))]
+    for i in range(5, 40):
+        own = [words(rng, rng.randrange(1, 9)) for _ in range(rng.randrange(1, 12))]
+        at = rng.randrange(len(own))
+        rows.append((i, "\n".join(own[:at] + (shared if i % 2 else []) + own[at:])))
+    out = line_dedup.dedup(frame(spark, rows))
+    want = dict(plain.line_chunks(rows, line_dedup.chunks))
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts == {**want, 0: None} and out.columns == frame(spark, rows).columns
+    assert sum(len(t or "") for _, t in rows) > sum(len(t or "") for t in texts.values()) + 500
+    digest = {r.doc_id: r.kept_sha256 for r in line_dedup.digest(frame(spark, rows)).collect()}
+    assert digest == {d: hashlib.sha256((t or "").encode()).hexdigest() for d, t in texts.items()}
+
+
+def test_line_chunk_boundaries_resist_shifts():
+    rng = random.Random(18)
+    lines = [words(rng, 5).encode() for _ in range(200)]
+    cut = {tuple(lines[a:b]) for a, b in line_dedup.chunks(lines)}
+    moved = [b"new line", *lines]
+    again = {tuple(moved[a:b]) for a, b in line_dedup.chunks(moved)}
+    assert len(cut & again) > 0.9 * len(cut)
+    assert b"".join(x for c in line_dedup.chunks(lines) for x in lines[c[0] : c[1]]) == b"".join(lines)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    return bpe.Tokenizer(bpe.read_ranks(public.path("byte_bpe_multi_50k.tiktoken")), public.PATTERN)
+
+
+def test_bpe_matches_library(tokenizer):
+    tiktoken = pytest.importorskip("tiktoken")
+    library = tiktoken.Encoding("own", pat_str=tokenizer.pattern, mergeable_ranks=tokenizer.ranks, special_tokens={})
+    rng = random.Random(19)
+    alphabet = "ab é'sÜ1²٣漢  \n\t.,!-_😀\x1c　 the ing"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)] + [words(rng, 300), "", "a" * 30_000, "<|endoftext|>", "ab" * 5000]
+    for t in texts:
+        ids = tokenizer.encode(t)
+        assert ids == library.encode_ordinary(t) and tokenizer.decode(ids) == t.encode()
+
+
+def test_bpe_digest(spark, tokenizer, rows):
+    import public_tokenizers as public
+
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    out = {r.doc_id: r for r in bpe.digest(frame(spark, rows), path, public.PATTERN).collect()}
+    for d, t in rows:
+        ids = tokenizer.encode(t or "")
+        assert (out[d].n_tokens, out[d].ids_sha256, out[d].decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+    back = bpe.decode(bpe.encode(frame(spark, rows), path, public.PATTERN), path, public.PATTERN)
+    assert {r.doc_id: bytes(r.body) for r in back.collect()} == {d: (t or "").encode() for d, t in rows}
+
+
+def test_perfect_hash_is_minimal():
+    keys = [str(i).encode() for i in range(3000)]
+    h = bpe.PerfectHash(keys)
+    assert sorted(h.slot(k) for k in keys) == list(range(3000))
+    assert h.slot(b"not there") == -1 and bpe.PerfectHash([]).slot(b"x") == -1
+
+
+def test_empty_tables(spark):
+    df = frame(spark, [])
+    items = spark.createDataFrame([], "item_id long, text string")
+    import public_tokenizers as public
+
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    for out in (substring.dedup(df), suffix_array.dedup(df), near_dup.digest(df), near_dup.dedup(df), pii.digest(df), license_scan.scan(df), compression.score(df), compression.keep(df), decontaminate.matches(df, items), decontaminate.clean(df, items), line_dedup.dedup(df), line_dedup.digest(df), bpe.digest(df, path, public.PATTERN)):
+        assert out.count() == 0
+
+
+def test_null_ids(spark):
+    text = words(random.Random(20), 60)
+    df = frame(spark, [(None, text), (4, text), (None, None)], False)
+    assert sorted((r.doc_id or -1, r.n_removed) for r in substring.dedup(df).collect()) == [(-1, 0), (-1, 60), (4, 0)]
+    assert sorted(r.n_removed for r in suffix_array.dedup(df).collect()) == [0, len(text.encode()), len(text.encode())]
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in near_dup.digest(df).collect()) == [(-1, -1), (-1, 4), (4, 4)]
+    assert compression.score(df).count() == license_scan.scan(df).count() == pii.digest(df).count() == line_dedup.digest(df).count() == 3
