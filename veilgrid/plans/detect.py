@@ -37,7 +37,10 @@ def _found(view_rows: DataFrame, relaxed: bool, as_of: str, person_labels: tuple
     regular = None
     for rules in catalog.rule_groups(relaxed):  # a few rules at a time: one expression of all would be too large to compile
         found = F.filter(catalog.applied(F.col("_text"), rules, as_of), lambda m: F.array_contains("allowed", m["category"]))
-        part = fixed.withColumn("m", F.explode(found)).drop("_text")
+        part = fixed.withColumn("m", F.explode(found))
+        end = structure.address_tail(F.col("_text"), F.col("m.stop"))
+        longer = F.col("m").withField("stop", end).withField("value", F.col("text").substr(F.col("m.start") + 1, end - F.col("m.start")))
+        part = part.withColumn("m", F.when(F.col("m.category") == "address", longer).otherwise(F.col("m"))).drop("_text")
         regular = part if regular is None else regular.unionByName(part)
     if person_labels:
         named = F.transform(structure.labelled_persons(F.col("text"), person_labels), lambda p: F.struct(F.lit("CUSTOM_PERSON_FIELD").alias("label"), F.lit("person_name").alias("category"), p["start"].alias("start"), p["stop"].alias("stop"), p["value"].alias("value"), F.lit(structure.LABELLED).alias("confidence"), F.lit(catalog.MEDIUM).alias("risk"), F.array(F.lit("structure:custom-person-field"), F.concat(F.lit("field:"), p["label"])).alias("evidence")))
