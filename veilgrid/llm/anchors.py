@@ -308,16 +308,17 @@ def apply(df: DataFrame, method: Method) -> DataFrame:
             np.add.at(change, begin[whole], 1)
             np.add.at(change, (begin + seg.count - 1 + shape.length)[whole], -1)
             rest = np.flatnonzero(~whole)
+            told, flags = [], []
             for said_key, said_bits in zip(said.column("key").to_pylist(), said.column("bits").to_pylist(), strict=True):
-                got = np.frombuffer(said_key, U)
-                at = np.searchsorted(keys, got)
+                told.append(np.searchsorted(keys, np.frombuffer(said_key, U)))
+                flags.append(np.unpackbits(np.frombuffer(said_bits, np.uint8), count=int(seg.count[first[told[-1]]].sum())))
+            if told:
+                at, bits = np.concatenate(told), np.concatenate(flags).astype(bool)
                 count = seg.count[first[at]]
-                flags = np.unpackbits(np.frombuffer(said_bits, np.uint8), count=int(count.sum())).astype(bool)
-                order = np.argsort(at, kind="stable")
-                place = np.searchsorted(at[order], which[rest])
-                mine = (place < len(at)) & (at[order][np.minimum(place, len(at) - 1)] == which[rest])
-                who, told = rest[mine], order[place[mine]]
-                windows = spread(begin[who], seg.count[who])[flags[spread((np.cumsum(count) - count)[told], seg.count[who])]]
+                where = np.full(len(keys), -1, np.int64)  # by key, where its flags begin
+                where[at] = np.cumsum(count) - count
+                who = rest[where[which[rest]] >= 0]
+                windows = spread(begin[who], seg.count[who])[bits[spread(where[which[who]], seg.count[who])]]
                 np.add.at(change, windows, 1)
                 np.add.at(change, windows + shape.length, -1)
         covered = np.cumsum(change[:-1]) > 0
