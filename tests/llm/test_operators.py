@@ -279,7 +279,7 @@ def test_decontamination_matches_plain(spark):
             t = t + w + words(rng, 5).split()
         rows.append((i, " ".join(t)))
     df, table = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
-    want = plain.leaks(rows, items, license_scan.words_of)
+    want = plain.leaks(rows, items, decontaminate.words_of)
     assert len(want) > 15
     for settings in (decontaminate.DEFAULT, decontaminate.Settings(block_bytes=300, windows_at_once=3)):
         found = decontaminate.matches(df, table, settings).collect()

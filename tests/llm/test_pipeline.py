@@ -5,7 +5,7 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from veilgrid.llm import compression, license_scan, line_dedup  # noqa: E402
+from veilgrid.llm import compression, decontaminate, line_dedup  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -29,7 +29,7 @@ def test_stages_match_plain(spark, tmp_path):
     rows = [r for r in rows if compression.measure(r[1].encode())[kept]]
     assert sorted((r.doc_id, r.text) for r in docs.collect()) == rows and docs.columns == columns
     docs = step("line_dedup")
-    rows = plain.line_chunks(rows, line_dedup.chunks)
+    rows = [r for r in plain.line_chunks(rows, line_dedup.chunks) if r[1]]
     assert sorted((r.doc_id, r.text) for r in docs.collect()) == rows and docs.columns == columns
     assert all(r.n_chars == len(r.text) for r in docs.collect())
     docs = step("near_duplicates")
@@ -37,7 +37,7 @@ def test_stages_match_plain(spark, tmp_path):
     rows = [r for r in rows if r[0] in stay]
     assert sorted((r.doc_id, r.text) for r in docs.collect()) == rows and docs.columns == columns
     docs = step("decontamination")
-    bad = {d for d, _ in plain.leaks(rows, items, license_scan.words_of)}
+    bad = {d for d, _ in plain.leaks(rows, items, decontaminate.words_of)}
     rows = [r for r in rows if r[0] not in bad]
     assert bad and sorted((r.doc_id, r.text) for r in docs.collect()) == rows and docs.columns == columns
     out = step("byte_bpe").collect()

@@ -2,7 +2,8 @@
 
 A document is contaminated by an item of n words when one of its windows of n words has a weighted-shingle
 similarity of at least ``similarity`` with it: the sum of the smaller by the sum of the larger counts of
-five-word shingles (the whole item where it is shorter). Words are letters, digits and bytes over 0x7F, A-Z folded.
+five-word shingles (the whole item where it is shorter). Words are runs of ASCII letters and digits and of all
+characters over 0x7F, in small letters.
 
 A window that shares no shingle with any item has similarity 0, so only windows that hold some item's shingle get
 a fingerprint. Fingerprints are compared through ``radius + 1`` blocks: two within the radius agree in at least
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .license_scan import words_of
+from .license_scan import FOLD
 
 U = np.uint64
 
@@ -47,6 +48,10 @@ class Settings:
 DEFAULT = Settings()
 
 
+def words_of(body: bytes) -> list[bytes]:
+    return body.decode("utf-8", "replace").lower().encode().translate(FOLD).split()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads every input bit over the word."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

@@ -113,8 +113,11 @@ def _without(text, first, stop):
     return pa.array(out, pa.string())
 
 
-def dedup(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """The documents with all their columns, repeated chunks cut from ``text``; ``n_chars`` follows if there."""
+def dedup(df: DataFrame, settings: Settings = DEFAULT, drop_emptied: bool = False) -> DataFrame:
+    """The documents with all their columns, repeated chunks cut from ``text``; ``n_chars`` follows if there.
+
+    With ``drop_emptied`` documents go that lost all their lines to others.
+    """
     mark, cut = "__row__", "__gone__"
     gone = removed(df, settings).withColumnRenamed("row", mark).withColumnRenamed("gone", cut)
     joined = df.withColumn(mark, F.xxhash64("doc_id", "text")).join(gone, mark, "left")
@@ -122,6 +125,8 @@ def dedup(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(text))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
+    if drop_emptied:
+        out = out.where(F.col(cut).isNull() | (F.col("text") != ""))
     return out.select(*(f"`{c}`" for c in df.columns))
 
 
