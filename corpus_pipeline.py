@@ -1,7 +1,7 @@
 """Corpus preparation as a chain of stages, each written as Parquet and read again as the next one's documents.
 
 1. quality rules: documents outside the compression bands, too short or too repetitive go;
-2. line dedup: repeated multi-line chunks are cut from the texts, the documents stay;
+2. line dedup: repeated multi-line chunks are cut from the texts; documents go that nothing is left of;
 3. near duplicates: one document of each component stays;
 4. decontamination: documents that hold a benchmark item go;
 5. byte-level BPE: token counts and digests of the ids and of what they decode to.
@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.tune(spark)
-    return line_dedup.dedup(docs)
+    return line_dedup.dedup(docs, drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
