@@ -95,18 +95,40 @@ SQL["combine_routing"] = f"SELECT {_SHOWN} FROM (SELECT * FROM {_R} WHERE entity
 
 _S = f"({FIXTURES['spans']})"
 _RANK = "CASE entity_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRIORITY.items()) + " ELSE 0 END"
-SQL["dedup_exact"] = f"SELECT {_SHOWN} FROM {_S} QUALIFY row_number() OVER (PARTITION BY doc_id, entity_type, raw_start, raw_end, rule_id ORDER BY seq) = 1"
-SQL["dedup_contained"] = f"SELECT {_SHOWN} FROM (SELECT *, max(raw_end) OVER (PARTITION BY doc_id, entity_type ORDER BY raw_start, raw_end DESC, confidence DESC, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {_S}) WHERE reach IS NULL OR reach < raw_end"
-SQL["merge_fragments"] = f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, entity_type, string_agg(text, '' ORDER BY raw_start, seq) AS text, CAST(min(raw_start) AS BIGINT) AS raw_start, CAST(max(raw_end) AS BIGINT) AS raw_end, tokens, max(confidence) AS confidence,
-    arg_min(rule_id, raw_start * 1000 + seq) AS rule_id FROM {_S} GROUP BY doc_id, tokens, entity_type"""
-SQL["resolve_location"] = f"SELECT {_SHOWN} FROM {_S} QUALIFY row_number() OVER (PARTITION BY doc_id, raw_start, raw_end, tokens ORDER BY confidence DESC, {_RANK} DESC, seq) = 1"
-SQL["resolve_overlap"] = f"""WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw_start, raw_end, seq) AS n, {_RANK} AS pr FROM {_S}),
-    f AS (SELECT doc_id, n, n AS cur, raw_end AS e, confidence AS c, pr AS p, raw_end - raw_start AS l, [n] AS kept FROM s WHERE n = 1
-    UNION ALL SELECT f.doc_id, s.n, CASE WHEN take THEN s.n ELSE f.cur END, CASE WHEN take THEN s.raw_end ELSE f.e END, CASE WHEN take THEN s.confidence ELSE f.c END, CASE WHEN take THEN s.pr ELSE f.p END, CASE WHEN take THEN s.raw_end - s.raw_start ELSE f.l END,
+
+
+def exact(src: str) -> str:
+    return f"(SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY doc_id, entity_type, raw_start, raw_end, rule_id ORDER BY seq) = 1)"
+
+
+def contained(src: str) -> str:
+    return f"(SELECT * EXCLUDE (reach) FROM (SELECT *, max(raw_end) OVER (PARTITION BY doc_id, entity_type ORDER BY raw_start, raw_end DESC, confidence DESC, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}) WHERE reach IS NULL OR reach < raw_end)"
+
+
+def fragments(src: str) -> str:
+    return f"""(SELECT doc_id, arg_min(seq, raw_start * 1000 + seq) AS seq, entity_type, string_agg(text, '' ORDER BY raw_start, seq) AS text, min(raw_start) AS raw_start, max(raw_end) AS raw_end, tokens, max(confidence) AS confidence,
+        arg_min(rule_id, raw_start * 1000 + seq) AS rule_id FROM {src} GROUP BY doc_id, tokens, entity_type)"""
+
+
+def location(src: str) -> str:
+    return f"(SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY doc_id, raw_start, raw_end, tokens ORDER BY confidence DESC, {_RANK} DESC, seq) = 1)"
+
+
+def overlap(src: str) -> str:
+    """A fold by recursion: the numbers of the spans kept so far travel with what the last of them is."""
+    return f"""(WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw_start, raw_end, seq) AS n, {_RANK} AS pr FROM {src}),
+    f AS (SELECT doc_id, n, raw_end AS e, confidence AS c, pr AS p, raw_end - raw_start AS l, [n] AS kept FROM s WHERE n = 1
+    UNION ALL SELECT f.doc_id, s.n, CASE WHEN take THEN s.raw_end ELSE f.e END, CASE WHEN take THEN s.confidence ELSE f.c END, CASE WHEN take THEN s.pr ELSE f.p END, CASE WHEN take THEN s.raw_end - s.raw_start ELSE f.l END,
         CASE WHEN s.raw_start >= f.e THEN list_append(f.kept, s.n) WHEN take THEN list_append(f.kept[1:len(f.kept) - 1], s.n) ELSE f.kept END
-        FROM f JOIN (SELECT * FROM s) s ON s.doc_id = f.doc_id AND s.n = f.n + 1,
-        LATERAL (SELECT s.raw_start >= f.e OR (s.confidence, s.pr, s.raw_end - s.raw_start) > (f.c, f.p, f.l) AS take))
-    SELECT {_SHOWN.replace('CAST(doc_id', 'CAST(s.doc_id')} FROM s JOIN (SELECT doc_id AS d, arg_max(kept, n) AS kept FROM f GROUP BY doc_id) k ON s.doc_id = k.d AND list_contains(k.kept, s.n)"""
+        FROM f JOIN s ON s.doc_id = f.doc_id AND s.n = f.n + 1, LATERAL (SELECT s.raw_start >= f.e OR (s.confidence, s.pr, s.raw_end - s.raw_start) > (f.c, f.p, f.l) AS take))
+    SELECT s.* EXCLUDE (n, pr) FROM s JOIN (SELECT doc_id AS d, arg_max(kept, n) AS kept FROM f GROUP BY doc_id) k ON s.doc_id = k.d AND list_contains(k.kept, s.n))"""
+
+
+for _name, _step in (("dedup_exact", exact), ("dedup_contained", contained), ("merge_fragments", fragments), ("resolve_location", location), ("resolve_overlap", overlap)):
+    SQL[_name] = f"SELECT {_SHOWN} FROM {_step(_S)}"
+_FINAL = overlap(location(fragments(contained(exact(_S)))))
+SQL["dedup_pipeline"] = f"SELECT {_SHOWN} FROM {_FINAL}"
+SQL["trace_outcomes"] = f"SELECT s.entity_type, CASE WHEN f.tokens IS NULL THEN 'deduplicated' ELSE 'kept' END AS outcome, count(*) AS n FROM {_S} s LEFT JOIN (SELECT DISTINCT doc_id, entity_type, tokens FROM {_FINAL}) f ON s.doc_id = f.doc_id AND s.entity_type = f.entity_type AND s.tokens = f.tokens GROUP BY ALL"
 
 SQL["mask_text"] = f"""SELECT doc_id, md5(masked) AS masked_md5, CAST(n AS BIGINT) AS n_spans FROM (SELECT doc_id, len(found) AS n, coalesce(list_reduce(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || coalesce(repeat('*', length(found[i])), '')), lambda a, b: a || b), '') AS masked
     FROM (SELECT doc_id, regexp_extract_all(text, '{EMAIL}') AS found, string_split_regex(text, '{EMAIL}') AS gaps FROM documents))"""
@@ -203,3 +225,18 @@ SQL["table_header_join"] = f"""WITH t AS (SELECT * FROM ({FIXTURES['tokens']})),
     e AS (SELECT b.*, ((l.x1 + l.x2) / 2.0 + c) / 2 AS lo, ((r.x1 + r.x2) / 2.0 + c) / 2 AS hi, (SELECT min(line_id) FROM h WHERE h.line_id > b.line_id) AS stop FROM b LEFT JOIN t l ON l.line_id = b.line_id AND l.pos = b.a - 1 LEFT JOIN t r ON r.line_id = b.line_id AND r.pos = b.z + 1)
     SELECT CAST(e.doc_id AS BIGINT) AS doc_id, CAST(e.line_id AS BIGINT) AS line_id, CAST(v.line_id AS BIGINT) AS value_line, label, string_agg(v.text, ' ' ORDER BY v.pos) AS value_text FROM e JOIN t v ON v.line_id > e.line_id AND v.line_id <= e.line_id + 3 AND (stop IS NULL OR v.line_id < stop)
     AND (SELECT min(y1) FROM t x WHERE x.line_id = v.line_id) - bottom <= hh * 3 * (v.line_id - e.line_id) AND (lo IS NULL OR (v.x1 + v.x2) / 2.0 >= lo) AND (hi IS NULL OR (v.x1 + v.x2) / 2.0 <= hi) GROUP BY ALL"""
+
+_TOK = f"({FIXTURES['tokens']})"
+SQL["format_compact_view"] = f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(line_id AS BIGINT) AS line_id, text, CAST(length(text) AS BIGINT) AS n FROM (SELECT doc_id, line_id, string_agg(CASE WHEN pos = 0 OR (piece AND before) THEN text ELSE ' ' || text END, '' ORDER BY pos) AS text
+    FROM (SELECT *, lag(piece) OVER (PARTITION BY doc_id, line_id ORDER BY pos) AS before FROM (SELECT *, regexp_matches(text, '[0-9@:/._+-]|^[A-Za-z]+$') AS piece FROM {_TOK})) GROUP BY doc_id, line_id)"""
+_LINE = f"SELECT doc_id, line_id, string_agg(text, ' ' ORDER BY pos) AS text FROM {_TOK} GROUP BY doc_id, line_id"
+SQL["spaced_view"] = f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(line_id AS BIGINT) AS line_id, text || '|' || follower AS text, CAST(o AS BIGINT) AS first_raw, CAST(o + length(text) + length(follower) AS BIGINT) AS last_raw
+    FROM (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY line_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o, lead(text) OVER (PARTITION BY doc_id ORDER BY line_id) AS follower FROM ({_LINE})) WHERE follower IS NOT NULL"""
+_DAY = "[0-9]{4} *[-./년] *[0-9]{1,2} *[-./월] *[0-9]{1,2}"
+SQL["address_field_cut"] = f"""SELECT CAST(id AS BIGINT) AS id, CASE WHEN ok THEN cut END AS address, CASE WHEN ok THEN CAST(length(v) - length(ltrim(v)) AS BIGINT) END AS start_at FROM (SELECT id, v, cut,
+    regexp_matches(cut, '^.{{0,12}}(특별시|광역시|[가-힣]{{2,}}도|[가-힣]{{2,}}시)') AND regexp_matches(regexp_replace(cut, '{_DAY}', ' ', 'g'), '[0-9]') AS ok FROM (SELECT id, v, rtrim(regexp_replace(trim(v), '( +(전화|주소|성명|이메일)|{_DAY}).*$', '')) AS cut FROM ({FIXTURES['addresses']})))"""
+SQL["account_block"] = f"""SELECT CAST(id AS BIGINT) AS id, CASE WHEN ok THEN a END AS account, CASE WHEN ok THEN CAST(bank + CASE WHEN regexp_matches(text, '계좌번호: *[0-9]') THEN 0.05 ELSE 0 END AS DOUBLE) END AS account_score,
+    CASE WHEN ok THEN coalesce(nullif(regexp_extract(text, '예금주: *([가-힣]{{2,4}})', 1), ''), nullif(regexp_extract(text, chr(10) || '([가-힣]{{2,4}})$', 1), '')) END AS owner
+    FROM (SELECT *, bank IS NOT NULL AND length(regexp_replace(a, '[^0-9]', '', 'g')) BETWEEN 10 AND 16 AS ok FROM (SELECT id, text, regexp_extract(text, '[0-9][0-9 -]{{8,30}}[0-9]') AS a, CASE WHEN regexp_matches(text, '(국민|신한|우리)은행') THEN 0.85 WHEN text LIKE '신형%' THEN 0.6 END AS bank FROM ({FIXTURES['accounts']})))"""
+_JSON = "'{{\"seq\":' || seq || ',\"entity_type\":\"' || entity_type || '\",\"text\":\"' || text || '\",\"raw_start\":' || raw_start || ',\"raw_end\":' || raw_end || '}}'".replace("{{", "{").replace("}}", "}")
+SQL["sink_json"] = "SELECT CAST(doc_id AS BIGINT) AS doc_id, '{\"doc_id\":' || doc_id || ',\"count\":' || count(*) || ',\"detections\":[' || string_agg(" + _JSON + ", ',' ORDER BY seq, entity_type, text) || ']}' AS json FROM " + _S + " GROUP BY doc_id"
