@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compression, decontaminate, license_scan, line_dedup, near_dup, pii, quality, substring, suffix_array
+from . import bpe, compression, decontaminate, license_scan, line_dedup, near_dup, oracle, pii, quality, substring, suffix_array
 from .common import documents, tune
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {}
+    return dict(oracle.SQL)
