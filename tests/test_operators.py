@@ -309,7 +309,7 @@ def test_masking(spark):
     docs = spark.createDataFrame([(1, "abcdefghij"), (2, "né"), (3, None)], "doc_id long, text string")
     s = spark.createDataFrame([(1, 1, 4), (1, 3, 6), (1, 8, 99), (1, 1, 4)], "doc_id long, raw_start int, raw_end int")
     assert {r.doc_id: r.masked for r in masking.mask_text(docs, s).collect()}[2] == "né"
-    assert {r.doc_id: r.masked for r in masking.mask_text(docs, s).collect()}[1].startswith("a*****gh**")
+    assert {r.doc_id: r.masked for r in masking.mask_text(docs, s).collect()}[1] == "a*****gh**"
     boxes = spark.createDataFrame([(1, 0, [(0, 0, 10, 10), (95, 95, 100, 100)]), (1, 1, [(0, 0, 10, 10)])], "doc_id long, seq int, boxes array<struct<x1:int,y1:int,x2:int,y2:int>>")
     drawn = masking.rectangles(boxes, spark.createDataFrame([(1, 100, 100)], "doc_id long, width int, height int"))
     assert [tuple(r) for r in drawn.orderBy("n").collect()] == [(1, 0, 0, 0, 12, 12), (1, 1, 93, 93, 99, 99)]

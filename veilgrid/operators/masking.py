@@ -6,21 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def mask_text(docs: DataFrame, spans: DataFrame, sign: str = "*") -> DataFrame:
-    """Texts of the same length with each span's characters replaced; overlapping spans are masked once.
+def masked(text: Column, ranges: Column, sign: str = "*") -> Column:
+    """A text of the same length with ``array<struct<start,stop>>`` replaced; ranges that overlap are masked once.
 
-    ``docs`` has ``doc_id, text``; ``spans`` has ``doc_id, raw_start, raw_end``.
+    With the matches of the same row this needs no shuffle.
     """
-    ranges = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("raw_start", "raw_end"))).alias("_ranges"))
 
     def step(acc: Column, r: Column) -> Column:
-        start = F.greatest(r["raw_start"].cast("int"), acc["at"])
-        stop = F.greatest(r["raw_end"].cast("int"), start)
-        kept = F.col("text").substr(acc["at"] + 1, start - acc["at"])
-        return F.struct(stop.alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit(sign), stop - start)).alias("out"))
+        start = F.greatest(r["start"].cast("int"), acc["at"])
+        stop = F.greatest(r["stop"].cast("int"), start)
+        return F.struct(stop.alias("at"), F.concat(acc["out"], text.substr(acc["at"] + 1, start - acc["at"]), F.repeat(F.lit(sign), F.greatest(F.least(stop, F.length(text)) - start, F.lit(0)))).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(F.array_sort(ranges), begin, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.greatest(F.length(text) - acc["at"], F.lit(0)))))
+    return F.when(F.coalesce(F.size(ranges), F.lit(0)) == 0, text).otherwise(done)
+
 
-    done = F.aggregate("_ranges", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.greatest(F.length("text") - acc["at"], F.lit(0)))))
-    return docs.join(ranges, "doc_id", "left").select("doc_id", F.when(F.col("_ranges").isNull(), F.col("text")).otherwise(done).alias("masked"), F.coalesce(F.size("_ranges"), F.lit(0)).alias("n_spans"))
+def mask_text(docs: DataFrame, spans: DataFrame, sign: str = "*") -> DataFrame:
+    """:func:`masked` for spans in a table of their own.
+
+    ``docs`` has ``doc_id, text``; ``spans`` has ``doc_id, raw_start, raw_end``.
+    """
+    ranges = spans.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("raw_start").alias("start"), F.col("raw_end").alias("stop"))).alias("_ranges"))
+    joined = docs.join(ranges, "doc_id", "left")
+    return joined.select("doc_id", masked(F.col("text"), F.col("_ranges"), sign).alias("masked"), F.coalesce(F.size("_ranges"), F.lit(0)).alias("n_spans"))
 
 
 def rectangle(box: Column, padding: Column, width: Column, height: Column) -> Column:

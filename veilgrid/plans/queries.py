@@ -243,9 +243,9 @@ def dedup_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def mask_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = catalog.detect(docs, ["email_address"]).select("doc_id", F.col("start").alias("raw_start"), F.col("stop").alias("raw_end"))
-    return masking.mask_text(docs, found).select("doc_id", F.md5("masked").alias("masked_md5"), F.col("n_spans").cast("long").alias("n_spans"))
+    found = catalog.matches_in(F.col("text"), ["email_address"])
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.transform(found, lambda m: F.struct(m["start"], m["stop"])).alias("ranges"))
+    return docs.select("doc_id", F.md5(masking.masked(F.col("text"), F.col("ranges"))).alias("masked_md5"), F.size("ranges").cast("long").alias("n_spans"))
 
 
 @query
