@@ -149,21 +149,58 @@ def print_of(edges: DataFrame) -> tuple:
     return tuple(edges.selectExpr("count(*)", "bit_xor(xxhash64(a, b))", "sum(cast(hash(a, b) as bigint))").first())
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``cid`` and its component's least ``cid``, for all ends of the edges: large and small stars in turn."""
-    e = common.stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    for _ in range(rounds):
+def contracted(edges: DataFrame, chunk: int = 200_000) -> DataFrame:
+    """Edges (``a``, ``b``) with the same components and fewer of them: each chunk of a task's edges becomes stars."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def stars() -> pa.RecordBatch:
+            flat = [(x, r) for x in root if (r := find(x)) != x]
+            root.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                root.setdefault(x, x)
+                root.setdefault(y, y)
+                x, y = find(x), find(y)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+            if len(root) >= chunk:
+                yield stars()
+        if root:
+            yield stars()
+
+    return edges.select("a", "b").mapInArrow(run, "a long, b long")
+
+
+def components(edges: DataFrame, rounds: int = 60, settle: bool = True) -> DataFrame:
+    """``cid`` and its component's least ``cid``, for all ends of the edges: large and small stars in turn.
+
+    Without ``settle`` one round is enough: equal labels are then connected, though not all that are connected have one.
+    """
+    e = common.stored(contracted(edges), "edges")
+    seen = print_of(e) if settle else None
+    for _ in range(rounds if settle else 1):
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(down.select("a", F.col("m").alias("b"))).distinct()
-        new = common.stored(small, "edges")
-        seen, e = print_of(e), new
-        if print_of(e) == seen:
-            break
-    labels = e.select(F.col("a").alias("cid"), F.col("b").alias("label"))
-    return labels.union(e.select(F.col("b").alias("cid"), F.col("b").alias("label"))).distinct()
+        e = common.stored(small, "edges")
+        if settle:
+            last, seen = seen, print_of(e)
+            if last == seen:
+                break
+    own = e.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("cid"), "label")
+    return own.union(e.select(F.col("b").alias("cid"), F.col("b").alias("label")).join(own, "cid", "left_anti").distinct())
 
 
 def _stars(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -299,6 +336,11 @@ def _compared(groups: DataFrame, texts: DataFrame, settings: Settings, buckets:
     return groups.join(texts, "cid").withColumn("bucket", F.pmod("sub", F.lit(buckets))).groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
+def _buckets(spark, rows: int, each: int) -> int:
+    """Buckets of about ``each`` rows, four for each shuffle partition at least."""
+    return max(4 * common.partitions(spark), -(-rows // each))
+
+
 def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of all documents, classes with their least document, and links between classes."""
     spark = df.sparkSession
@@ -317,25 +359,26 @@ def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[Data
     alike = F.aggregate(F.zip_with("x", "y", lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, v: acc + v)
     near = stars.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("y")), "b").where(alike >= settings.agree).select("a", "b")
     links = common.stored(confirmed(near, texts, settings), "links")
-    labels = components(links)
+    labels = components(links, settle=False)
     known = members.select("node", "cid").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    todo = common.stored(_told(known), "todo").join(sig, "cid")
-    groups = []
+    kept = common.stored(_told(known), "todo")
+    groups, rows = [], kept.count()
+    todo = kept.join(sig, "cid")
     for step in range(settings.steps + 1):
         groups.append(todo.where(F.col("n") <= settings.limit).drop("n"))
         large = todo.where(F.col("n") > settings.limit)
-        if large.isEmpty():
+        if kept.where(F.col("n") > settings.limit).isEmpty():
             break
         if step == settings.steps:
             groups.append(_blocks(large, settings))
             break
-        todo = common.stored(_told(_step(large.drop("n"), settings)), "todo")
+        todo = kept = common.stored(_told(_step(large.drop("n"), settings)), "todo")
+        rows += kept.count()
     small = groups[0].select("node", "cid", "label", "sig")
     for g in groups[1:]:
         small = small.union(g.select("node", "cid", "label", "sig"))
-    buckets = common.partitions(spark) * 4
-    left = common.stored(_promising(small, settings, buckets).distinct(), "groups")
-    more = common.stored(_compared(left, texts, settings, buckets), "links")
+    left = common.stored(_promising(small, settings, _buckets(spark, rows, 20_000)).distinct(), "groups")
+    more = common.stored(_compared(left, texts, settings, _buckets(spark, left.count(), 500)), "links")
     return docs, classes, links.union(more)
 
 
