@@ -91,6 +91,7 @@ class Tokenizer:
         self.find = regex.compile(pattern).findall
         self.memory: dict[str, tuple[int, ...]] = {}
         self.units: dict[str, tuple[int, ...]] = {}
+        self.remembered = REMEMBERED
         self.spaced = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+" in pattern
 
     def __reduce__(self):
@@ -133,7 +134,7 @@ class Tokenizer:
         r = self.rank(raw)
         ids = (r,) if r >= 0 else self.merge(raw)
         if len(text) <= REMEMBERED_CHARS:
-            if len(self.memory) >= REMEMBERED:
+            if len(self.memory) >= self.remembered:
                 self.memory.clear()
             self.memory[text] = ids
         return ids
@@ -143,7 +144,7 @@ class Tokenizer:
         known, piece = self.memory.get, self.piece
         ids = tuple(i for x in self.find(text) for i in known(x) or piece(x))
         if len(text) <= REMEMBERED_CHARS:
-            if len(self.units) >= REMEMBERED:
+            if len(self.units) >= self.remembered:
                 self.units.clear()
             self.units[text] = ids
         return ids
@@ -169,6 +170,11 @@ class Tokenizer:
             add(known(x) or piece(x))
         return out
 
+    def forget(self) -> None:
+        """Give back what is remembered, so that later work in this process has the memory."""
+        self.memory.clear()
+        self.units.clear()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -217,13 +223,18 @@ def decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def digest(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode and decode each text and give the digests of both, so that no ids leave the worker."""
+def digest(df: DataFrame, path: str, pattern: str, remembered: int = REMEMBERED) -> DataFrame:
+    """Encode and decode each text and give the digests of both, so that no ids leave the worker.
+
+    ``remembered``: pre-tokens that a worker remembers. With less than the default it also forgets them after each task,
+    which leaves memory to other stages in the same workers.
+    """
     held, key = _shared(df, path, pattern)
     types = common.pa_schema(SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(key, held.value, pattern)
+        t.remembered = remembered
         text_of = t.text_of.__getitem__
         for batch in batches:
             counts, first, second = [], [], []
@@ -233,6 +244,8 @@ def digest(df: DataFrame, path: str, pattern: str) -> DataFrame:
                 first.append(hashlib.sha256(",".join(map(text_of, ids)).encode()).hexdigest())
                 second.append(hashlib.sha256(t.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], schema=types)
+        if remembered < REMEMBERED:
+            t.forget()
 
     return common.text_rows(df).mapInArrow(run, SCHEMA)
 
