@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from veilgrid.llm import bpe, common, compression, decontaminate, line_dedup, near_dup, queries
 
 
+#: Pre-tokens remembered by a worker in the last stage: few, as workers go on to serve other stages.
+REMEMBERED = 100_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.tune(spark)
     return compression.keep(docs)
@@ -39,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.tune(spark)
-    return bpe.digest(docs, *queries.tokenizer())
+    return bpe.digest(docs, *queries.tokenizer(), remembered=REMEMBERED)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_chunks), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
