@@ -41,6 +41,7 @@ class Shape:
     one_in: int = 1
     piece: int = 1 << 19
     group_bytes: int = 4 << 20
+    task_bytes: int = 64 << 20
     bucket_bytes: int = 8 << 20
 
     @property
@@ -227,7 +228,7 @@ def apply(df: DataFrame, method: Method) -> DataFrame:
     groups, buckets = max(1, -(-int(size) // shape.group_bytes)), max(1, -(-int(size) // shape.bucket_bytes))
     # the row key spreads rows evenly; rows alike in id and text go to one group, which tells them apart by place
     row = F.xxhash64("doc_id", "body")
-    docs = rows.select(F.pmod(row, F.lit(groups)).alias("g"), row.alias("row"), "doc_id", "body").repartition(max(common.partitions(spark), min(groups, 4096)), "g")
+    docs = rows.select(F.pmod(row, F.lit(groups)).alias("g"), row.alias("row"), "doc_id", "body").repartition(max(common.partitions(spark), min(-(-int(size) // shape.task_bytes), 50_000)), "g")
 
     def local(t: pa.Table) -> tuple:
         ids, doc, bodies = _documents(t)
