@@ -90,6 +90,7 @@ def removed(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     texts = _found(rows, settings, True).groupBy("h1", "h2", "chunk").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
     # no chunk texts from here on; a hash with two texts is left alone
     repeated = texts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.first("kept").alias("kept"), F.first("last").alias("last")).where("n = 1 and kept <> last").select("h1", "h2", "kept")
+    repeated = common.stored(repeated, "repeated-chunks")  # as a table of its own: the join below can then split a frequent chunk
     gone = _found(rows, settings, False).join(repeated, ["h1", "h2"]).where(~(F.struct("doc_id", "row", "first").eqNullSafe(F.col("kept"))))
     return gone.select("row", "first", "stop").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "stop"))).alias("gone"))
 
