@@ -64,7 +64,7 @@ RULES: tuple[Rule, ...] = (
     Rule("EMAIL", "email_address", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", 1.0, MEDIUM, lambda v, d: ids.email(v)),
     Rule("PHONE", "phone_number", r"(?<![0-9-])(?:\+82[ .-]?|0)(?:1[016789]|2|[3-6][1-5]|70|50[2-8])[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9-])", 1.0, MEDIUM),
     Rule("PHONE", "phone_number", r"\+(?!82)[1-9][0-9 ().-]{6,20}[0-9](?![0-9])", 1.0, MEDIUM, _long(8, 15)),
-    Rule("PHONE", "phone_number", r"(?<![0-9-])1[5-8][0-9]{2}-?[0-9]{4}(?![0-9-])", 0.85, LOW),
+    Rule("PHONE", "phone_number", r"(?<![0-9A-Za-z-])1[5-8][0-9]{2}-?[0-9]{4}(?![0-9A-Za-z-])", 0.85, LOW),
     Rule("FAX", "phone_number", r"(?<![0-9-])0[2-7][0-9]?[ .)-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9-])", 0.85, LOW, anchors=("팩스", "FAX", "Fax"), evidence="anchor:prefix"),
     Rule("IP", "ip_address", rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9.]*[0-9])", 1.0, LOW),
     Rule("URL", "url", r"(?i)\b(?:https?://|www\.)[^\s<>\"'가-힣]+[^\s<>\"'가-힣.,;:!?)]", 0.9, INFO),

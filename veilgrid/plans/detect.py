@@ -21,9 +21,12 @@ SPAN_COLUMNS = ("doc_id", "seq", "entity_type", "text", "normalized_text", "raw_
 SPAN_TYPES = "doc_id long, seq long, entity_type string, text string, normalized_text string, raw_start int, raw_end int, token_ids array<int>, line_ids array<int>, detector_confidence double, ocr_confidence double, rule_id string, review_required boolean, risk_level int, evidence array<string>"
 
 
-def text_spans(docs: DataFrame, relaxed: bool = False, as_of: str = catalog.AS_OF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Raw spans of plain texts: each match is one span whose token is its own start."""
-    m = catalog.detect(docs, None, relaxed, as_of, id_col, text_col)
+def text_spans(docs: DataFrame, relaxed: bool = False, as_of: str = catalog.AS_OF, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] | None = None) -> DataFrame:
+    """Raw spans of plain texts: each match is one span whose token is its own start.
+
+    With ``categories`` only their rules run, so no other category can take a place from them; a policy detects all first.
+    """
+    m = catalog.detect(docs, categories, relaxed, as_of, id_col, text_col)
     return m.select(
         "doc_id", F.col("seq").cast("long").alias("seq"), F.col("category").alias("entity_type"), F.col("value").alias("text"), F.regexp_replace("value", "\\s", "").alias("normalized_text"),
         F.col("start").alias("raw_start"), F.col("stop").alias("raw_end"), F.array("start").alias("token_ids"), F.array().cast("array<int>").alias("line_ids"),

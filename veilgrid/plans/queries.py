@@ -16,7 +16,7 @@ from veilgrid.functions import identifiers as ids
 from veilgrid.functions import labels, normalize
 from veilgrid.operators import catalog, evaluate, layout, masking, ner, policy, postprocess, spans, structure, tables, views
 from veilgrid.plans import detect
-from veilgrid.session import ship
+from veilgrid.session import kept, ship, spread
 from veilgrid.sources import ocr, texts
 
 KINDS = ("email_address", "ip_address", "phone_number", "account_card_number", "credential_secret")
@@ -139,7 +139,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 @query
 def pii_category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluate.category_counts(catalog.detect(table(spark, folder, "documents"), KINDS))
+    return evaluate.category_counts(catalog.detect(spread(table(spark, folder, "documents").select("doc_id", "text")), KINDS))
 
 
 def _matches(category: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -236,8 +236,8 @@ QUERIES["dedup_pipeline"] = _spans(spans.deduplicate)
 @query
 def dedup_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The whole deduplication over all raw spans of the documents table."""
-    found = detect.text_spans(table(spark, folder, "documents").select("doc_id", "text"))
-    final = spans.deduplicate(found.where(F.col("entity_type").isin(*KINDS)))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    final = spans.deduplicate(detect.text_spans(docs, categories=KINDS))
     return final.groupBy("entity_type").agg(F.count("*").alias("n"), F.sum(F.col("raw_end") - F.col("raw_start")).cast("long").alias("characters"))
 
 
@@ -257,8 +257,8 @@ def mask_rectangles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def mask_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Spans and distinct rectangles of laid-out documents with e-mail addresses."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    laid = layout.synthetic(docs).withColumn("lines", layout.lines_by_top(F.col("tokens")))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    laid = kept(layout.synthetic(docs).withColumn("lines", layout.lines_by_top(F.col("tokens"))), "laid-out")
     lines = layout.placed_lines(laid)
     at = layout.token_intervals(lines)
     raw = lines.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_id", "text"))), lambda x: x["text"]), "\n").alias("text"))
@@ -462,7 +462,7 @@ def conversation_pii_by_role(spark: SparkSession, folder: str) -> DataFrame:
 def risk_by_language(spark: SparkSession, folder: str) -> DataFrame:
     """Findings by language and risk, decided by the standard preset."""
     docs = table(spark, folder, "documents")
-    found = detect.text_spans(docs.select("doc_id", "text")).where(F.col("entity_type").isin(*KINDS))
+    found = detect.text_spans(spread(docs.select("doc_id", "text")), categories=KINDS)
     out = policy.evaluate(found, policy.policies(spark, [policy.preset(2)])).join(docs.select("doc_id", "lang"), "doc_id")
     return out.groupBy("lang", "entity_type", "action").agg(F.count("*").alias("n"))
 

@@ -52,3 +52,9 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/veilgrid/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a few small files would keep most of them idle; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
