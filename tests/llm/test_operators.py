@@ -326,6 +326,39 @@ def test_line_chunk_boundaries_resist_shifts():
     assert b"".join(x for c in line_dedup.chunks(lines) for x in lines[c[0] : c[1]]) == b"".join(lines)
 
 
+def repeated_lines(rows, words=8):
+    """Lines of each document in a run of two or more that an earlier place has too: every place with every other."""
+    split = {d: t.split("\n") for d, t in rows}
+    places = sorted((d, i) for d, x in split.items() for i in range(len(x)))
+    gone = {d: set() for d in split}
+    for k, (d, i) in enumerate(places):
+        for e, j in places[:k]:
+            n = 0
+            while i + n < len(split[d]) and j + n < len(split[e]) and split[d][i + n] == split[e][j + n]:
+                n += 1
+            if n > 1 and sum(len(x.split()) for x in split[d][i : i + n]) >= words:
+                gone[d].update(range(i, i + n))
+    return gone, split
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_line_runs_match_brute_force(spark, seed):
+    """Passages of two lines and more go from between other lines; so do runs of short lines and what a text repeats itself."""
+    rng = random.Random(seed)
+    passages = [[words(rng, rng.randrange(1, 9)) for _ in range(n)] for n in (2, 2, 3, 3, 4, 5, 9, 20)] + [["x", "y", "z a", "b", "c", "d", "e f"], ["same line of words"] * 4]
+    rows = []
+    for i in range(40):
+        t = [words(rng, rng.randrange(1, 9)) for _ in range(rng.randrange(1, 5))]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(passages)
+            t += p[rng.randrange(2) :] + [words(rng, rng.randrange(0, 9))]
+        rows.append((i, "\n".join(t)))
+    gone, split = repeated_lines(rows)
+    assert sum(map(len, gone.values())) > 60
+    out = {r.doc_id: (r.n_removed, r.kept_sha256) for r in line_dedup.digest(frame(spark, rows), line_dedup.RUNS).collect()}
+    assert out == {d: (len(gone[d]), hashlib.sha256("\n".join(x for i, x in enumerate(lines) if i not in gone[d]).encode()).hexdigest()) for d, lines in split.items()}
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     public = pytest.importorskip("public_tokenizers")

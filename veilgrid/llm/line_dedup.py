@@ -5,6 +5,10 @@ so boundaries depend on content alone and shift with inserted or deleted lines.
 lines and at least ``words`` words. Of equal chunks the first stays, by document id, row key and place; the
 others' lines are removed.
 
+With ``runs`` every run of ``least`` lines and ``words`` words that also stands at an earlier place goes, wherever chunks
+would begin. The pieces compared are then the shortest runs from each line on and up to each line: any longer
+repeated run is covered by them, so nothing depends on boundaries. The first place of a line always stays.
+
 Equal 128-bit hashes only propose: chunks are grouped by hash and by their bytes, and where texts with one hash
 differ, nothing with that hash is removed. The grouping combines before it shuffles, so a chunk that
 a third of all documents hold arrives once from each task; the join back is a plain join that adaptive
@@ -34,9 +38,11 @@ class Settings:
     least: int = 2
     most: int = 16
     words: int = 8
+    runs: bool = False
 
 
 DEFAULT = Settings()
+RUNS = Settings(runs=True)
 MASK = (1 << 64) - 1
 FACTOR = 0x9E3779B97F4A7C15
 
@@ -58,10 +64,32 @@ def chunks(lines: list[bytes], settings: Settings = DEFAULT) -> list[tuple[int,
     return out
 
 
+def shortest_runs(lines: list[bytes], settings: Settings = DEFAULT) -> list[tuple[int, int]]:
+    """The shortest runs with enough lines and words from each line on and up to each line."""
+    n, total = len(lines), [0]
+    for x in lines:
+        total.append(total[-1] + len(x.split()))
+    out, stop, first = set(), 0, 0
+    for i in range(n - settings.least + 1):
+        stop = max(stop, i + settings.least)
+        while stop < n and total[stop] - total[i] < settings.words:
+            stop += 1
+        if total[stop] - total[i] < settings.words:
+            break
+        out.add((i, stop))
+    for stop in range(settings.least, n + 1):
+        while first + 1 <= stop - settings.least and total[stop] - total[first + 1] >= settings.words:
+            first += 1
+        if total[stop] - total[first] >= settings.words:
+            out.add((first, stop))
+    return sorted(out)
+
+
 def _found(rows: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
-    """Multi-line chunks of all texts: hash, row, place, and their bytes if asked for."""
+    """Multi-line chunks, or shortest runs, of all texts: hash, row, place, and their bytes if asked for."""
     schema = "h1 long, h2 long, doc_id long, row long, first long, stop long" + (", chunk binary" if with_text else "")
     types = common.pa_schema(schema)
+    pieces = shortest_runs if settings.runs else chunks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,7 +98,7 @@ def _found(rows: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
                 lines = body.split(b"\n")
                 if len(lines) < settings.least:
                     continue
-                for a, b in chunks(lines, settings):
+                for a, b in pieces(lines, settings):
                     chunk = b"\n".join(lines[a:b])
                     if b - a < settings.least or len(chunk.split(None, settings.words)) < settings.words:
                         continue
@@ -92,7 +120,9 @@ def removed(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     repeated = texts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.first("kept").alias("kept"), F.first("last").alias("last")).where("n = 1 and kept <> last").select("h1", "h2", "kept")
     repeated = common.stored(repeated, "repeated-chunks")  # as a table of its own: the join below can then split a frequent chunk
     gone = _found(rows, settings, False).join(repeated, ["h1", "h2"]).where(~(F.struct("doc_id", "row", "first").eqNullSafe(F.col("kept"))))
-    return gone.select("row", "first", "stop").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "stop"))).alias("gone"))
+    lines = F.flatten(F.collect_list(F.sequence("first", F.col("stop") - 1)))  # line by line, as runs overlap
+    ranges = F.transform(F.sort_array(F.array_distinct(lines)), lambda i: F.struct(i.alias("first"), (i + 1).alias("stop")))
+    return gone.select("row", "first", "stop").distinct().groupBy("row").agg(ranges.alias("gone"))
 
 
 def _keyed(df: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digest(documents(spark, sf_dir))
+    return line_dedup.digest(documents(spark, sf_dir), line_dedup.RUNS)
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
