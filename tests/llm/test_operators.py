@@ -1,6 +1,8 @@
 import hashlib
+import os
 import random
 import re
+import string
 
 import numpy as np
 import plain
@@ -247,6 +249,27 @@ def test_compression_bands():
     assert not compression.measure(line * 200)[kept]
 
 
+def random_words(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 11))) for _ in range(n // 6))[:n].encode()
+
+
+@pytest.mark.parametrize("letters, least", [(string.ascii_letters + string.digits + "+/", 384), ("".join(map(chr, range(33, 127))), 384), (string.ascii_lowercase, 1024), ("0123456789abcdef", 3072)])
+def test_compression_bands_reject_random_letters(letters, least):
+    """Words of random letters pass the base rule and leave the bands of every length from ``least`` bytes on."""
+    rng = random.Random(23)
+    lengths = [n for n, _, _ in compression.DEFAULT.whole if n >= least]
+    for n in [x for low, high in zip(lengths, [*lengths[1:], 100_000], strict=True) for x in (low, (low + high) // 2, high - 1)]:
+        row = dict(zip(compression.NAMES, compression.measure(random_words(rng, letters, n)), strict=True))
+        assert not row["base_failed"] and not row["kept"], (n, row)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the tables")
+def test_compression_bands_keep_prose(spark):
+    """No document that passes the base rule goes."""
+    out = compression.score(common.documents(spark, "/root/testdata/sf0.01")).where("not base_failed")
+    assert out.count() > 800 and out.where("not kept").count() == 0
+
+
 def test_quality_ranking_separates(spark):
     rng = random.Random(14)
     good = [(i, words(rng, rng.randrange(30, 200))) for i in range(0, 300, 2)]

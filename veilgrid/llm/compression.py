@@ -26,12 +26,31 @@ SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class Bands:
-    """``whole``: (least bytes, lowest ratio, highest ratio), by rising length; the last that fits counts."""
+    """``whole``: (least bytes, lowest ratio, highest ratio), by rising length; the last that fits counts.
+
+    The highest lie between the highest ratio of clean prose and the lowest of random letters of that length: base64 from
+    256 bytes on, a-z from 1024, hexadecimal from 3072. Below these lengths the two overlap, and prose is let pass.
+    """
 
     level: int = 3
     chunk_bytes: int = 4096
-    whole: tuple[tuple[int, float, float], ...] = ((128, 0.40, 1.05), (256, 0.30, 0.95), (1024, 0.22, 0.85), (4096, 0.18, 0.80), (65536, 0.12, 0.80))
-    chunk: tuple[float, float] = (0.20, 0.80)
+    whole: tuple[tuple[int, float, float], ...] = (
+        (128, 0.40, 1.05),
+        (256, 0.40, 0.80),
+        (384, 0.40, 0.78),
+        (512, 0.38, 0.75),
+        (768, 0.36, 0.70),
+        (1024, 0.34, 0.608),
+        (1536, 0.32, 0.59),
+        (2048, 0.31, 0.575),
+        (3072, 0.30, 0.521),
+        (4096, 0.29, 0.52),
+        (6144, 0.28, 0.50),
+        (8192, 0.27, 0.49),
+        (16384, 0.26, 0.475),
+        (65536, 0.25, 0.475),
+    )
+    chunk: tuple[float, float] = (0.30, 0.521)
     bad_chunks: float = 0.25
     min_words: int = 50
     max_repeat_percent: int = 50
