@@ -6,6 +6,7 @@ import string
 
 import numpy as np
 import plain
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +271,17 @@ def test_compression_bands_keep_prose(spark):
     assert out.count() > 800 and out.where("not kept").count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the tables")
+def test_compression_chunks_cover_the_end():
+    """Prose followed by repeats shorter than a chunk, and texts of less than two chunks."""
+    prose = next(t for d, t in sorted((r["doc_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).to_pylist()) if len(t or "") > 9000 and compression.measure(t.encode())[compression.NAMES.index("kept")]).encode()
+    for start, end, n in ((8191, b"aaaa " * 815, 3), (4600, b"lorem " * 560, 2)):
+        clean, padded = (dict(zip(compression.NAMES, compression.measure(x), strict=True)) for x in (prose[:start], prose[:start] + end))
+        assert clean["kept"] and clean["n_bad_chunks"] == 0
+        assert not padded["base_failed"] and not padded["kept"] and padded["n_chunks"] == n and padded["n_bad_chunks"] == 1, padded
+    assert [compression.measure(prose[:n])[compression.NAMES.index("n_chunks")] for n in (4095, 4096, 4097, 8192, 8193)] == [0, 1, 2, 2, 3]
+
+
 def test_quality_ranking_separates(spark):
     rng = random.Random(14)
     good = [(i, words(rng, rng.randrange(30, 200))) for i in range(0, 300, 2)]

@@ -2,7 +2,7 @@
 
 Repetitive text compresses far better than prose, random text far worse. A text is rejected when the
 ratio (compressed by raw bytes) of the whole, or that of more than a quarter of its fixed chunks, leaves
-the band for its length. Short texts carry the frame's cost, so each length has limits of its own and texts
+the band for its length. The text's last bytes are a full chunk too, so that every byte is in one. Short texts carry the frame's cost, so each length has limits of its own and texts
 under the shortest limit are not judged by the ratio.
 
 Null and empty texts have no words, fail the base rule, and have a null ratio. Repeated rows each get
@@ -95,10 +95,10 @@ def judge(bands: Bands, body: bytes, compressor: zstandard.ZstdCompressor) -> tu
             limits = (low, high)
     inside = limits is None or limits[0] <= ratio <= limits[1]
     step = bands.chunk_bytes
-    chunks = n // step  # a shorter rest is judged with the whole only
+    chunks = -(-n // step) if n >= step else 0
     bad = 0
-    if chunks > 1:
-        for i in range(0, chunks * step, step):
+    if chunks:
+        for i in [*range(0, n - step, step), n - step]:  # the last chunk ends with the text and may overlap the one before
             bad += not bands.chunk[0] <= len(compressor.compress(body[i : i + step])) / step <= bands.chunk[1]
         inside = inside and bad <= bands.bad_chunks * chunks
     return inside, ratio, chunks, bad
