@@ -155,6 +155,22 @@ def test_near_duplicates_large_nodes(spark, limit):
     assert got(near_dup.digest(df, near_dup.Settings(limit=limit, steps=1, star_trees=0 if limit == 2 else 1)), 4) == sorted(plain.near_duplicates(rows))
 
 
+def test_near_duplicates_pairs_in_deep_nodes(spark):
+    """Pairs at 0.75 that share most of their text with all others meet after several default steps, too."""
+    rng = random.Random(24)
+    template, rows = [f"t{i}" for i in range(105)], []
+    for i in range(60):
+        both = [f"p{i}x{k}" for k in range(15)]
+        rows += [(2 * i + k, " ".join(template + both + [f"o{rng.randrange(1 << 60)}" for _ in range(19)])) for k in range(2)]
+    want = sorted(plain.near_duplicates(rows))
+    assert sum(not r[3] for r in want) == 60
+    assert got(near_dup.digest(frame(spark, rows, False), near_dup.Settings(limit=4, star_trees=0, trees=6)), 4) == want
+
+
+def test_near_duplicates_lost_by_step():
+    assert [near_dup.lost(near_dup.DEFAULT, s) < most for s, most in enumerate((6e-8, 6e-8, 1e-6, 1e-5, 1e-4, 4e-4))] == [True] * 6
+
+
 def test_near_duplicates_edges(spark):
     rows = [(3, "a b c d e f g"), (1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (4, ""), (5, "A  B c d E f g"), (6, "p q"), (7, "P q")]
     out = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.digest(frame(spark, rows)).collect()}

@@ -6,9 +6,10 @@ with a Jaccard similarity of at least 0.75 are linked, and documents reachable b
 Equal sets are one class from the start. Classes then pass down independent trees: in a node all classes
 are told apart by the same minwise token or tokens, picked by the node's own hash, and those with equal tokens
 go on to the same child. Nodes of up to ``limit`` classes are compared exhaustively on full sets; larger ones
-branch further, by three tokens a step, to 2.37 children a class on average (the third power of 1 / 0.75). At the
-root a linked pair meets in one tree with probability 0.75 or more, so ``trees`` = 12 leaves 6e-8 of pairs apart
-where nodes are small; each further step keeps at least 0.7 of a pair's chances.
+branch further, by three tokens a step, to as many children a class as ``children`` has for the step. At the
+root a linked pair meets in one tree with probability 0.75 or more, so ``trees`` = 14 leaves 4e-9 of pairs apart
+where nodes are small. A child keeps a pair with the third power of 0.75 or more, so 2.37 children a class would just
+keep the pairs that meet expected; :func:`lost` gives the share lost after each step, by the tokens there are.
 
 Links matter, not pairs. First every class is compared with the centre of its node in a few trees: the class that agrees
 most with the node's most frequent tokens, which among copies of one text is the text itself. Classes
@@ -24,6 +25,7 @@ equal sets. A null id takes the component's least id, if any has one. Other colu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,13 +45,14 @@ U = np.uint64
 class Settings:
     shingle: int = 5
     percent: int = 75
-    trees: int = 12
+    trees: int = 14
     star_trees: int = 3
     star_tokens: int = 16
     tokens: int = 64
     agree: int = 28
     limit: int = 4096
     steps: int = 5
+    children: tuple[int, ...] = (12, 5, 4, 3, 3)
     seed: int = 1
 
 
@@ -219,11 +222,29 @@ def _told(rows: DataFrame) -> DataFrame:
     return rows.join(nodes, "node")
 
 
-def _step(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Children of nodes: three tokens at places the node picks, two or three times."""
+def lost(settings: Settings, steps: int) -> float:
+    """The share of pairs at the least similarity that meet in no node after some steps.
+
+    Every tree draws on the same ``tokens``, so the trees' chances are added up by how many of these agree.
+    """
+    j, n, out = settings.percent / 100, settings.tokens, 0.0
+    for agree in range(n + 1):
+        apart = 0.0
+        for k in reversed([_children(settings, s) for s in range(steps)]):
+            apart = (1 - (agree / n) ** 3 * (1 - apart)) ** k
+        ways = sum(math.comb(settings.trees, r) * math.comb(n - settings.trees, agree - r) * apart**r for r in range(min(agree, settings.trees) + 1))
+        out += j**agree * (1 - j) ** (n - agree) * ways
+    return out
+
+
+def _children(settings: Settings, step: int) -> int:
+    return settings.children[min(step, len(settings.children) - 1)]
+
+
+def _step(rows: DataFrame, settings: Settings, step: int) -> DataFrame:
+    """Children of nodes: three tokens at places the node picks, as many times as the step has children."""
     at = lambda k: F.get("sig", F.pmod(F.xxhash64("node", "b", F.lit(k)), F.lit(settings.tokens)).cast("int"))
-    times = F.when(F.pmod(F.xxhash64("node"), F.lit(100)) < 37, 3).otherwise(2)
-    more = rows.withColumn("b", F.explode(F.sequence(F.lit(1), times)))
+    more = rows.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(_children(settings, step)))))
     return more.select(F.xxhash64("node", "b", at(1), at(2), at(3)).alias("node"), "cid", "label", "sig")
 
 
@@ -372,7 +393,7 @@ def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[Data
         if step == settings.steps:
             groups.append(_blocks(large, settings))
             break
-        todo = kept = common.stored(_told(_step(large.drop("n"), settings)), "todo")
+        todo = kept = common.stored(_told(_step(large.drop("n"), settings, step)), "todo")
         rows += kept.count()
     small = groups[0].select("node", "cid", "label", "sig")
     for g in groups[1:]:
