@@ -5,7 +5,7 @@ import re
 import string
 
 import numpy as np
-import plain
+import plain_versions as plain
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F

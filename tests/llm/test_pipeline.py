@@ -1,6 +1,6 @@
 import hashlib
 
-import plain
+import plain_versions as plain
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
