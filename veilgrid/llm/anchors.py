@@ -210,6 +210,9 @@ class Method:
 
 LAST = np.int64((1 << 63) - 1)
 
+#: A shuffle has tasks x tasks blocks; beyond this number tasks get longer, not larger in memory.
+MOST_TASKS = 50_000
+
 
 def _documents(t: pa.Table) -> tuple[list, np.ndarray, list[bytes]]:
     """Ids, ids as numbers (null: after all others) and bodies, in an order that only depends on the rows."""
@@ -226,9 +229,11 @@ def apply(df: DataFrame, method: Method) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
     size = rows.agg(F.sum(F.length("body") + 16).alias("n")).first()["n"] or 0
     groups, buckets = max(1, -(-int(size) // shape.group_bytes)), max(1, -(-int(size) // shape.bucket_bytes))
+    # tasks by bytes, for groups and for buckets, whatever the session's number of shuffle partitions; a task holds one group or bucket at a time
+    tasks = max(common.partitions(spark), min(-(-int(size) // shape.task_bytes), MOST_TASKS))
     # the row key spreads rows evenly; rows alike in id and text go to one group, which tells them apart by place
     row = F.xxhash64("doc_id", "body")
-    docs = rows.select(F.pmod(row, F.lit(groups)).alias("g"), row.alias("row"), "doc_id", "body").repartition(max(common.partitions(spark), min(-(-int(size) // shape.task_bytes), 50_000)), "g")
+    docs = rows.select(F.pmod(row, F.lit(groups)).alias("g"), row.alias("row"), "doc_id", "body").repartition(tasks, "g")
 
     def local(t: pa.Table) -> tuple:
         ids, doc, bodies = _documents(t)
@@ -328,8 +333,8 @@ def apply(df: DataFrame, method: Method) -> DataFrame:
         return pa.table({"doc_id": pa.array(ids, pa.int64())} | {n: pa.array(v, final.field(n).type) for n, v in out.items()}, schema=final)
 
     final = common.pa_schema("doc_id long, " + method.columns)
-    asked = docs.groupBy("g").applyInArrow(ask, "b long, g long, blob binary")
-    answered = asked.groupBy("b").applyInArrow(answer, "g long, blob binary")
-    sent = docs.groupBy("g").cogroup(answered.groupBy("g")).applyInArrow(send, "b long, g long, key binary, anchor binary, count binary, doc binary, units binary")
-    decided = sent.groupBy("b").applyInArrow(decide, "g long, key binary, bits binary")
+    asked = docs.groupBy("g").applyInArrow(ask, "b long, g long, blob binary").repartition(tasks, "b")
+    answered = asked.groupBy("b").applyInArrow(answer, "g long, blob binary").repartition(tasks, "g")
+    sent = docs.groupBy("g").cogroup(answered.groupBy("g")).applyInArrow(send, "b long, g long, key binary, anchor binary, count binary, doc binary, units binary").repartition(tasks, "b")
+    decided = sent.groupBy("b").applyInArrow(decide, "g long, key binary, bits binary").repartition(tasks, "g")
     return docs.groupBy("g").cogroup(decided.groupBy("g")).applyInArrow(finish, "doc_id long, " + method.columns)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilgrid.session import shared_dir, ship
+from veilgrid.session import kept, remove, ship
 
 #: Rows in an Arrow batch handed to Python: texts may be long, so batches stay small.
 BATCH_ROWS = 512
@@ -56,10 +55,33 @@ def pa_schema(schema: str) -> pa.Schema:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/veilgrid/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    What an operator stores is removed by :func:`drop` once a later table takes its place, the rest when the driver ends.
+    """
+    return kept(df, name)
+
+
+def drop(df: DataFrame) -> None:
+    """Remove a stored table that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of the table has it; Spark does not tell small letters from capitals."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key(*columns: str) -> tuple[Column, Column]:
+    """128 bits that name a row by some of its columns."""
+    return F.xxhash64(*columns), F.xxhash64(F.lit(0x5BD1E995), *reversed(columns))
 
 
 def partitions(spark: SparkSession) -> int:

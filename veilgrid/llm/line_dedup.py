@@ -14,8 +14,10 @@ differ, nothing with that hash is removed. The grouping combines before it shuff
 a third of all documents hold arrives once from each task; the join back is a plain join that adaptive
 execution splits where one chunk is frequent.
 
-Cases: a null text stays null. Empty texts and one-line texts stay as they are. A document all of whose lines go
-keeps an empty text. Rows with the same id and text count as one place and are treated alike.
+Cases: a null text stays null. Empty texts and one-line texts stay as they are, and very long texts are read whole. A document
+all of whose lines go keeps an empty text. Rows with the same id and text count as one place and are treated alike: what
+they repeat among themselves stays. Null ids come first. An empty table gives an empty one. Other columns stay, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -85,16 +87,22 @@ def shortest_runs(lines: list[bytes], settings: Settings = DEFAULT) -> list[tupl
     return sorted(out)
 
 
+def chunk_hash(chunk: bytes) -> tuple[int, int]:
+    """128 bits of a chunk, as two numbers."""
+    h = xxhash.xxh3_128_intdigest(chunk)
+    return (h >> 64) - (1 << 63), (h & MASK) - (1 << 63)
+
+
 def _found(rows: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
     """Multi-line chunks, or shortest runs, of all texts: hash, row, place, and their bytes if asked for."""
-    schema = "h1 long, h2 long, doc_id long, row long, first long, stop long" + (", chunk binary" if with_text else "")
+    schema = "h1 long, h2 long, doc_id long, r1 long, r2 long, first long, stop long" + (", chunk binary" if with_text else "")
     types = common.pa_schema(schema)
     pieces = shortest_runs if settings.runs else chunks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in types]
-            for d, row, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for d, r1, r2, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 lines = body.split(b"\n")
                 if len(lines) < settings.least:
                     continue
@@ -102,8 +110,7 @@ def _found(rows: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
                     chunk = b"\n".join(lines[a:b])
                     if b - a < settings.least or len(chunk.split(None, settings.words)) < settings.words:
                         continue
-                    h = xxhash.xxh3_128_intdigest(chunk)
-                    values = [(h >> 64) - (1 << 63), (h & MASK) - (1 << 63), d, row, a, b, chunk]
+                    values = [*chunk_hash(chunk), d, r1, r2, a, b, chunk]
                     for column, v in zip(out, values, strict=False):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(out, types, strict=True)], schema=types)
@@ -112,21 +119,27 @@ def _found(rows: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
 
 
 def removed(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """``row`` and the line ranges to remove from it; rows without any are absent."""
-    rows = _keyed(df).select("doc_id", "row", F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("body"))
-    place = F.struct("doc_id", "row", "first")
+    """``r1``, ``r2`` and the line ranges to remove from the row they name; rows without any are absent."""
+    r1, r2 = common.row_key("doc_id", "text")
+    body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("r1"), r2.alias("r2"), body.alias("body"))
+    place = F.struct("doc_id", "r1", "r2", "first")
     texts = _found(rows, settings, True).groupBy("h1", "h2", "chunk").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
     # no chunk texts from here on; a hash with two texts is left alone
     repeated = texts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.first("kept").alias("kept"), F.first("last").alias("last")).where("n = 1 and kept <> last").select("h1", "h2", "kept")
     repeated = common.stored(repeated, "repeated-chunks")  # as a table of its own: the join below can then split a frequent chunk
-    gone = _found(rows, settings, False).join(repeated, ["h1", "h2"]).where(~(F.struct("doc_id", "row", "first").eqNullSafe(F.col("kept"))))
+    gone = _found(rows, settings, False).join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("kept")))
     lines = F.flatten(F.collect_list(F.sequence("first", F.col("stop") - 1)))  # line by line, as runs overlap
     ranges = F.transform(F.sort_array(F.array_distinct(lines)), lambda i: F.struct(i.alias("first"), (i + 1).alias("stop")))
-    return gone.select("row", "first", "stop").distinct().groupBy("row").agg(ranges.alias("gone"))
+    return gone.select("r1", "r2", "first", "stop").distinct().groupBy("r1", "r2").agg(ranges.alias("gone"))
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+def _marked(df: DataFrame, settings: Settings) -> tuple[DataFrame, str]:
+    """The table with the ranges to remove in a column of a free name."""
+    one, two, cut = common.free(df, "row1", "row2", "gone")
+    r1, r2 = common.row_key("doc_id", "text")
+    gone = removed(df, settings).select(F.col("r1").alias(one), F.col("r2").alias(two), F.col("gone").alias(cut))
+    return df.withColumns({one: r1, two: r2}).join(gone, [one, two], "left"), cut
 
 
 def _without(text, first, stop):
@@ -149,9 +162,7 @@ def dedup(df: DataFrame, settings: Settings = DEFAULT, drop_emptied: bool = Fals
 
     With ``drop_emptied`` documents go that lost all their lines to others.
     """
-    mark, cut = "__row__", "__gone__"
-    gone = removed(df, settings).withColumnRenamed("row", mark).withColumnRenamed("gone", cut)
-    joined = df.withColumn(mark, F.xxhash64("doc_id", "text")).join(gone, mark, "left")
+    joined, cut = _marked(df, settings)
     text = F.arrow_udf(_without, "string")(F.col("text"), F.col(f"{cut}.first"), F.col(f"{cut}.stop"))
     out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(text))
     if "n_chars" in df.columns:
@@ -163,9 +174,7 @@ def dedup(df: DataFrame, settings: Settings = DEFAULT, drop_emptied: bool = Fals
 
 def digest(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """For each document its lines, the lines removed and a digest of what is left."""
-    mark = "__row__"
-    gone = removed(df, settings).withColumnRenamed("row", mark)
-    joined = df.select("doc_id", "text", F.xxhash64("doc_id", "text").alias(mark)).join(gone, mark, "left")
+    joined, _ = _marked(df.select("doc_id", "text"), settings)
     n = F.coalesce(F.aggregate("gone", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["first"]), F.lit(0).cast("long"))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.arrow_udf(_without, "string")(F.col("text"), F.col("gone.first"), F.col("gone.stop")))
     return joined.select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"), n.alias("n_removed"), F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("kept_sha256"))

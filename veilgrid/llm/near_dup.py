@@ -19,8 +19,15 @@ in 1e7 does); what is left meets with its texts, all intersections of a node are
 only links that join something are given out. Nodes that stay larger than ``limit`` after ``steps`` are compared
 block by block, so nothing is capped.
 
-Cases: null and empty texts have an empty set, link with nothing and are their own component. Repeated rows are
-equal sets. A null id takes the component's least id, if any has one. Other columns are not read.
+A set's class has 128 bits: 64 name it, and where two sets share these, the others part them. Rows are told apart by id and
+128 bits of id and text. Nodes that hold over a ten-thousandth of all rows are joined by themselves, so that no task gets
+all rows of one: there are at most 10,000 of them, whatever the input's size.
+
+Cases: null and empty texts have an empty set, link with nothing and are their own component. Very long texts are
+read whole; a set grows with its text. Repeated rows are equal sets. A null id takes the component's least id, if any has one; of a
+component without any id the row with the least key stays. An empty table gives an empty one. Of rows alike in id and
+text but not in other columns, :func:`dedup` keeps the one with the least hash of these. Other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -86,7 +93,7 @@ def factors(settings: Settings) -> np.ndarray:
     return rng.integers(0, 1 << 63, settings.tokens, dtype=np.int64).astype(U) * U(2) + U(1)
 
 
-SKETCH = "doc_id long, row long, n_shingles long, cid long, roots array<long>, sig array<short>"
+SKETCH = "doc_id long, r1 long, r2 long, n_shingles long, cid long, check long, roots array<long>, sig array<short>"
 
 
 def sketches(df: DataFrame, settings: Settings) -> DataFrame:
@@ -95,36 +102,51 @@ def sketches(df: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cid, roots, sig = [], [], [], []
-            for body in batch.column(2).to_pylist():
+            n, cid, check, roots, sig = [], [], [], [], []
+            for body in batch.column(3).to_pylist():
                 s = shingle_set(body, settings.shingle)
                 n.append(len(s))
-                cid.append(class_of(s))
+                first, second = class_of(s)
+                cid.append(first)
+                check.append(second)
                 tokens = minwise(s, f) if len(s) else None
                 roots.append(None if tokens is None else tokens[: settings.trees].view(np.int64))
                 sig.append(None if tokens is None else tokens.astype(np.uint16).view(np.int16))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(roots, pa.list_(pa.int64())), pa.array(sig, pa.list_(pa.int16()))], names=["doc_id", "row", "n_shingles", "cid", "roots", "sig"])
+            made = [pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()), pa.array(roots, pa.list_(pa.int64())), pa.array(sig, pa.list_(pa.int16()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=[x.split()[0] for x in SKETCH.split(", ")])
 
     return _bodies(df).mapInArrow(run, SKETCH)
 
 
-def class_of(s: np.ndarray) -> int | None:
-    """A number for a set."""
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
+def class_of(s: np.ndarray) -> tuple[int | None, int | None]:
+    """A number for a set, and a second one."""
+    if not len(s):
+        return None, None
+    h = xxhash.xxh3_128_intdigest(s.tobytes())
+    return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)
 
 
-def _bodies(df: DataFrame) -> DataFrame:
-    body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), body.alias("body"))
+def _classes(docs: DataFrame) -> DataFrame:
+    """A row for each class: its least document, its rows' least key, and whether sets that differ share it."""
+    whole = docs.where("cid is not null").groupBy("cid")
+    return whole.agg(F.min("doc_id").alias("rep"), F.min(F.struct("r1", "r2")).alias("row"), F.first("roots").alias("roots"), F.first("sig").alias("sig"), (F.min("check") != F.max("check")).alias("clash"))
+
 
+def parted(docs: DataFrame, clash: DataFrame) -> DataFrame:
+    """Sketches in which the sets of some classes get a class each, made of both their numbers."""
+    marked = docs.join(clash.select("cid", F.lit(True).alias("both")), "cid", "left")
+    return marked.withColumn("cid", F.when(F.col("both"), F.xxhash64("cid", "check")).otherwise(F.col("cid"))).select(*docs.columns)
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
+
+def _bodies(df: DataFrame) -> DataFrame:
+    body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
+    r1, r2 = common.row_key("doc_id", "text")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("r1"), r2.alias("r2"), body.alias("body"))
 
 
 def class_texts(df: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """One text for each wanted class (``cid``, ``row`` of a document that has it)."""
-    rows = wanted.select("cid", "row").join(_bodies(df).select("row", "body"), "row").select("cid", "body")
+    rows = wanted.select("cid", "row.r1", "row.r2").join(_bodies(df).select("r1", "r2", "body"), ["r1", "r2"]).select("cid", "body")
     return rows.dropDuplicates(["cid"])
 
 
@@ -184,42 +206,58 @@ def contracted(edges: DataFrame, chunk: int = 200_000) -> DataFrame:
     return edges.select("a", "b").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60, settle: bool = True) -> DataFrame:
-    """``cid`` and its component's least ``cid``, for all ends of the edges: large and small stars in turn.
+def components(edges: DataFrame, settle: bool = True, chunk: int = 200_000) -> DataFrame:
+    """``cid`` and its component's least ``cid``, for all ends of the edges: large and small stars in turn, until nothing changes.
 
     Without ``settle`` one round is enough: equal labels are then connected, though not all that are connected have one.
     """
-    e = common.stored(contracted(edges), "edges")
+    e = common.stored(contracted(edges, chunk), "edges")
     seen = print_of(e) if settle else None
-    for _ in range(rounds if settle else 1):
+    while True:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(down.select("a", F.col("m").alias("b"))).distinct()
-        e = common.stored(small, "edges")
-        if settle:
-            last, seen = seen, print_of(e)
-            if last == seen:
-                break
+        before, e = e, common.stored(small, "edges")
+        common.drop(before)
+        if not settle:
+            break
+        last, seen = seen, print_of(e)
+        if last == seen:
+            break
     own = e.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("cid"), "label")
     return own.union(e.select(F.col("b").alias("cid"), F.col("b").alias("label")).join(own, "cid", "left_anti").distinct())
 
 
-def _stars(rows: DataFrame, settings: Settings) -> DataFrame:
+def hot_nodes(sizes: DataFrame, total: int) -> DataFrame:
+    """The nodes (``node``, ``n``) that hold over a ten-thousandth of all rows, and over 1000: at most 10,000."""
+    return sizes.where(F.col("n") > max(1000, total // 10_000)).select("node")
+
+
+def by_node(rows: DataFrame, side: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows joined with a table of one row for each node; rows of hot nodes stay where they are."""
+    hot = F.broadcast(hot)  # hot_nodes bounds it
+    cold = rows.join(hot, "node", "left_anti").join(side, "node")
+    return cold.unionByName(rows.join(F.broadcast(side.join(hot, "node", "left_semi")), "node"))
+
+
+def _stars(rows: DataFrame, hot: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of each class and the centre of its node."""
     at = range(0, settings.tokens, max(1, settings.tokens // settings.star_tokens))
     usual = rows.groupBy("node").agg(F.array(*(F.mode(F.get("sig", F.lit(i)), True) for i in at)).alias("usual"))
     agree = sum(((F.get("sig", F.lit(i)) == F.get("usual", F.lit(k))).cast("int") for k, i in enumerate(at)), F.lit(0))
-    scored = rows.join(usual, "node").select("node", "cid", agree.alias("agree"))
+    scored = by_node(rows, usual, hot).select("node", "cid", agree.alias("agree"))
     centre = scored.groupBy("node").agg(F.max_by("cid", F.struct("agree", "cid")).alias("b"))
-    return rows.select("node", F.col("cid").alias("a")).join(centre, "node").where("a <> b").select("a", "b").distinct()
+    return by_node(rows.select("node", F.col("cid").alias("a")), centre, hot).where("a <> b").select("a", "b").distinct()
 
 
 def _told(rows: DataFrame) -> DataFrame:
     """Rows of nodes whose classes are not all joined, with the node's size ``n``."""
-    nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node", "n")
-    return rows.join(nodes, "node")
+    sizes = common.stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")), "nodes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    nodes = sizes.where("low <> high").select("node", "n")
+    return by_node(rows, nodes, hot_nodes(sizes, total))
 
 
 def lost(settings: Settings, steps: int) -> float:
@@ -366,17 +404,21 @@ def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[Data
     """Sketches of all documents, classes with their least document, and links between classes."""
     spark = df.sparkSession
     docs = common.stored(sketches(df, settings), "sketches")
-    whole = docs.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("roots").alias("roots"), F.first("sig").alias("sig"))
-    classes = common.stored(whole, "classes")
+    classes = common.stored(_classes(docs), "classes")
+    clash = classes.where("clash")  # of 1e11 sets a few hundred share the first 64 bits only
+    if not clash.isEmpty():
+        docs = common.stored(parted(docs, clash), "sketches")
+        classes = common.stored(_classes(docs), "classes")
     # the root of each tree parts classes by one token
     tokens = classes.select("cid", F.posexplode("roots").alias("tree", "token"))
     rows = tokens.select(F.xxhash64("tree", "token").alias("node"), "tree", "cid")
-    nodes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    members = common.stored(rows.join(nodes, "node"), "members")
+    sizes = common.stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
+    hot = common.stored(hot_nodes(sizes, sizes.agg(F.sum("n")).first()[0] or 0), "hot-nodes")
+    members = common.stored(by_node(rows, sizes.select("node"), hot), "members")
     active = members.select("cid").distinct()
     texts = common.stored(class_texts(df, classes.join(active, "cid", "left_semi"), settings), "texts")
     sig = classes.select("cid", "sig")
-    stars = _stars(members.where(F.col("tree") < settings.star_trees).select("node", "cid").join(sig, "cid"), settings)
+    stars = _stars(members.where(F.col("tree") < settings.star_trees).select("node", "cid").join(sig, "cid"), hot, settings)
     alike = F.aggregate(F.zip_with("x", "y", lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, v: acc + v)
     near = stars.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("y")), "b").where(alike >= settings.agree).select("a", "b")
     links = common.stored(confirmed(near, texts, settings), "links")
@@ -404,22 +446,28 @@ def classes_and_links(df: DataFrame, settings: Settings = DEFAULT) -> tuple[Data
 
 
 def resolve(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """``doc_id``, ``row``, ``n_shingles``, ``component_id`` and ``kept`` for each document."""
+    """``doc_id``, ``r1``, ``r2``, ``n_shingles``, ``component_id`` and ``kept`` for each document."""
     docs, classes, links = classes_and_links(df, settings)
     labels = components(links)
-    named = classes.select("cid", "rep").join(labels, "cid", "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component"))
-    component = named.join(least, "label").select("cid", "component")
-    out = docs.select("doc_id", "row", "n_shingles", "cid").join(component, "cid", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "row", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = classes.select("cid", "rep", "row").join(labels, "cid", "left").select("cid", "rep", "row", F.coalesce("label", "cid").alias("label"))
+    least = named.groupBy("label").agg(F.min("rep").alias("component"), F.min("row").alias("first"))
+    component = named.join(least, "label").select("cid", "component", "first")
+    out = docs.select("doc_id", "r1", "r2", "n_shingles", "cid").join(component, "cid", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    nameless = F.col("cid").isNull() | (F.struct("r1", "r2") == F.col("first"))  # for components in which no row has an id
+    kept = F.when(F.col("component_id").isNull(), nameless).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return out.select("doc_id", "r1", "r2", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def dedup(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """One document of each component, with all its columns; rows alike in id and text are one document."""
-    mark = "__row__"
-    kept = resolve(df, settings).where("kept").select(F.col("row").alias(mark)).distinct()
-    rows = df.withColumn(mark, row_key()).join(kept, mark, "left_semi")
-    return rows.dropDuplicates([mark]).select(*(f"`{c}`" for c in df.columns))
+    one, two = common.free(df, "row1", "row2")
+    r1, r2 = common.row_key("doc_id", "text")
+    kept = resolve(df, settings).where("kept").select(F.col("r1").alias(one), F.col("r2").alias(two)).distinct()
+    rows = df.withColumns({one: r1, two: r2}).join(kept, [one, two], "left_semi")
+    others = [f"`{c}`" for c in df.columns if c not in ("doc_id", "text")]
+    order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    whole = F.struct(*(f"`{c}`" for c in df.columns))
+    return rows.groupBy(one, two).agg(F.min_by(whole, order).alias("whole")).select("whole.*")
 
 
 def digest(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
