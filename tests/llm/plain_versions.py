@@ -135,12 +135,61 @@ def weighted(a, b, width=5):
 
 
 def leaks(rows, items, words_of):
-    """(document, item) pairs by comparing every window with every item."""
+    """(document, item) pairs by comparing every window with every item; a document shorter than an item is one window."""
     out = set()
     for d, t in rows:
         w = words_of((t or "").encode())
         for k, text in items:
             v = words_of((text or "").encode())
-            if v and any(weighted(w[i : i + len(v)], v, min(5, len(v))) >= 0.75 for i in range(len(w) - len(v) + 1)):
+            width = min(5, len(v))
+            if v and any(weighted(w[i : i + len(v)], v, width) >= 0.75 for i in range(max(1, len(w) - len(v) + 1))):
                 out.add((d, k))
     return out
+
+
+def folded_words(body):
+    """Runs of letters, digits and characters over 0x7F, in small letters, without the operator's own code."""
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", body.decode("utf-8", "replace").lower())
+
+
+def license_labels(text, templates):
+    """Templates accepted somewhere in a text: each as one regular expression over words that end in a space."""
+    words = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x))
+    flat = "".join(w + " " for w in words(text))
+    found = set()
+    for label, t in templates.items():
+        pattern = ""
+        for part in re.split(r"(<<.*?>>)", t):
+            match = re.search('match="([^"]*)"', part)
+            if part == "<<beginOptional>>":
+                pattern += "(?:"
+            elif part == "<<endOptional>>":
+                pattern += ")?"
+            elif part.startswith("<<var"):
+                choices = []
+                for c in match[1].split("|"):
+                    gap = re.fullmatch(r"\.(\+|\{.*\})", c)
+                    choices.append(rf"(?:[^ ]+ ){gap[1]}" if gap else "".join(re.escape(w) + " " for w in words(c)))
+                pattern += "(?:" + "|".join(choices) + ")"
+            else:
+                pattern += "".join(re.escape(w) + " " for w in words(part))
+        if re.search("(?:^|(?<= ))" + pattern, flat):
+            found.add(label)
+    return found
+
+
+def inside_bands(body, bands):
+    """The compression verdict of a text, step by step."""
+    import zstandard
+
+    ratio = lambda x: len(zstandard.ZstdCompressor(level=bands.level).compress(x)) / len(x)
+    if not body:
+        return True
+    fitting = [(low, high) for least, low, high in bands.whole if least <= len(body)]
+    if fitting and not fitting[-1][0] <= ratio(body) <= fitting[-1][1]:
+        return False
+    if len(body) < bands.chunk_bytes:
+        return True
+    ends = [*range(bands.chunk_bytes, len(body), bands.chunk_bytes), len(body)]
+    out = [not bands.chunk[0] <= ratio(body[e - bands.chunk_bytes : e]) <= bands.chunk[1] for e in ends]
+    return sum(out) <= bands.bad_chunks * len(out)

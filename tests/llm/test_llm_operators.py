@@ -49,7 +49,7 @@ def rows():
 def frame(spark, rows, extra=True):
     """The documents with columns whose names clash with those that operators make."""
     df = common.tune(spark).createDataFrame(rows, SCHEMA)
-    names = ("row", "body", "cid", "g", "gone", "spans", "label", "node", "item_id", "x", "n_words", "first_word")
+    names = ("row", "body", "cid", "g", "gone", "spans", "label", "node", "item_id", "x", "n_words", "first_word", "__row__", "__gone__", "row1", "ROW2", "r1", "whole", "t", "m_email")
     return df.withColumns({n: F.lit("clash") for n in names}) if extra else df
 
 
@@ -330,8 +330,10 @@ def test_decontamination_matches_plain(spark):
             t = t + w + words(rng, 5).split()
         rows.append((i, " ".join(t)))
     df, table = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
-    want = plain.leaks(rows, items, decontaminate.words_of)
-    assert len(want) > 15
+    rows.append((60, " ".join(items[7][1].split()[:-2])))  # all of an item but its last words
+    df = frame(spark, rows)
+    want = plain.leaks(rows, items, plain.folded_words)
+    assert len(want) > 15 and (60, 7) in want
     for settings in (decontaminate.DEFAULT, decontaminate.Settings(block_bytes=300, windows_at_once=3)):
         found = decontaminate.matches(df, table, settings).collect()
         assert {(r.doc_id, r.item_id) for r in found} == want
@@ -463,3 +465,164 @@ def test_null_ids(spark):
     assert sorted(r.n_removed for r in suffix_array.dedup(df).collect()) == [0, len(text.encode()), len(text.encode())]
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in near_dup.digest(df).collect()) == [(-1, -1), (-1, 4), (4, 4)]
     assert compression.score(df).count() == license_scan.scan(df).count() == pii.digest(df).count() == line_dedup.digest(df).count() == 3
+
+
+def test_decontamination_ties_and_shared_shingles(spark):
+    """Of equal windows the first counts; items that share shingles are told apart; repeated documents have rows each."""
+    rng = random.Random(31)
+    common_part = words(rng, 20)
+    items = [(1, common_part + " " + words(rng, 20)), (2, common_part + " " + words(rng, 20)), (3, common_part)]
+    text = "lead " + items[0][1] + " between " + items[0][1]
+    rows = [(1, text), (1, text), (2, common_part), (3, words(rng, 50))]
+    out = sorted((r.doc_id, r.item_id, r.first_word, r.similarity) for r in decontaminate.matches(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert out == [(1, 1, 1, 1.0)] * 2 + [(1, 3, 1, 1.0)] * 2 + [(2, 3, 0, 1.0)]
+
+
+def test_license_labels_match_plain(spark):
+    """Random pieces of templates, whole texts with regions filled in, against one regular expression for each template."""
+    rng = random.Random(32)
+    fill = lambda t: re.sub(r"<<var.*?>>", lambda _: words(rng, rng.randrange(1, 4)), re.sub(r"<<(begin|end)Optional>>", "", t))
+    pieces = [fill(t) for t in license_scan.TEMPLATES.values()]
+    pieces += [p for t in license_scan.TEMPLATES.values() for p in [" ".join(re.sub(r"<<.*?>>", " ", t).split()[:30])]]
+    choices = [re.sub(r'<<var.*?match="([^"|]*).*?>>', lambda m: m[1] if not m[1].startswith(".") else "the holder", re.sub(r"<<(begin|end)Optional>>", "", t)) for t in license_scan.TEMPLATES.values()]
+    rows = [(i, "\n".join(rng.choice([*pieces, *choices, words(rng, 5), "MIT License"]) for _ in range(rng.randrange(1, 5)))) for i in range(120)] + [(900, None), (901, ""), (902, choices[0]), (902, choices[0])]
+    out = license_scan.scan(frame(spark, rows)).collect()
+    got_labels = sorted((r.doc_id, r.labels) for r in out)
+    base = {r[0]: {x for x in r[5].split(",") if x} for r in plain.license_base(rows)}
+    want = sorted((d, ",".join(sorted(plain.license_labels(t or "", license_scan.TEMPLATES) | base[d]))) for d, t in rows)
+    assert got_labels == want and len({x for _, r in want for x in r.split(",")}) > 15
+    assert all(r.score == (1.0 if set(r.labels.split(",")) - set(r.base_labels.split(",")) - {""} else 0.5 if r.base_labels else 0.0) for r in out)
+
+
+def test_license_regions_of_any_length():
+    a = license_scan.Automaton({"g": 'start <<var;name="y";match=".+">> stop'})
+    for n in (1, 60, 61, 1000, 50_000):
+        assert a.labels([b"start", *[b"x"] * n, b"stop"]) == {"g"}
+    assert a.labels([b"start", b"stop"]) == a.labels([b"x"] * 1000 + [b"stop"]) == set()
+    assert a.labels([b"start"] * 3000 + [b"stop"]) == {"g"}
+
+
+def test_quality_rules_verdict_matches_plain(spark):
+    """``kept`` against the bands worked out step by step, for prose, repeats and noise of many lengths; repeated rows alike."""
+    rng = random.Random(33)
+    rows = []
+    for i, n in enumerate([60, 90, 200, 400, 700, 900, 1500, 3000]):
+        noise = "".join(chr(rng.randrange(33, 126)) + (" " if k % 7 == 6 else "") for k in range(n * 6))
+        prose, line = words(rng, n), words(rng, 30)
+        rows += [(4 * i, prose), (4 * i + 1, noise), (4 * i + 2, line + "\n" + prose[: n * 2] + "\n" + (line + "\n") * (n // 40)), (4 * i + 3, prose + noise[: n * 3])]
+    rows += [rows[0], (500, None), (501, "")]
+    base = {r[0]: r[6] for r in plain.quality(rows)}
+    out = compression.score(frame(spark, rows)).collect()
+    want = sorted((d, not base[d] and plain.inside_bands((t or "").encode(), compression.DEFAULT)) for d, t in rows)
+    assert sorted((r.doc_id, r.kept) for r in out) == want and {k for _, k in want} == {True, False}
+
+
+def test_quality_ranking_matches_plain(spark):
+    """Strengths and scores by plain sums; the weights are where the loss over the pairs has no slope; the cut is the quantile."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(34)
+    rows = [(i, words(rng, rng.randrange(20, 90)) + (" **!!" * rng.randrange(12) if i % 2 else "")) for i in range(80)] + [(500, None), (501, ""), (3, words(rng, 9))]
+    settings = quality.Settings(pairs=400)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+    df = frame(spark, rows)
+    model = quality.train(df, labels, settings=settings)
+    compressor = zstandard.ZstdCompressor(level=3)
+
+    def strength(t):
+        x = quality.features((t or "").encode(), compressor)
+        z = [min(6.0, max(-6.0, (a - m) / s)) for a, m, s in zip(x, model.mean, model.scale, strict=True)]
+        return sum(w * v for w, v in zip(model.weights, z + [v * v / 6 for v in z], strict=True))
+
+    want = sorted((d, 1 / (1 + math.exp(-((strength(t) - model.cut) * model.slope + math.log(3 / 7))))) for d, t in rows)
+    out = sorted((r.doc_id, r.score, r.predicted) for r in quality.score(df, model).collect())
+    assert [r[0] for r in out] == [d for d, _ in want]
+    for (_, score, predicted), (_, expected) in zip(out, want, strict=True):
+        assert score == pytest.approx(expected, abs=1e-9) and predicted == (score >= 0.3)
+    x = np.array([quality.features(t.encode(), compressor) for _, t in rows[:60]])
+    y = np.array([1 - d % 2 for d, _ in rows[:60]])
+    m = quality.fit(x, y, settings)
+    z = quality.expand(x, np.array(m.mean), np.array(m.scale))
+    draw = np.random.default_rng(settings.seed)
+    pairs = list(zip(draw.choice(np.flatnonzero(y == 1), settings.pairs), draw.choice(np.flatnonzero(y == 0), settings.pairs), strict=True))
+    w = np.array(m.weights)
+    slope = sum((1 / (1 + math.exp(-float((z[a] - z[b]) @ w))) - 1) * (z[a] - z[b]) for a, b in pairs) / len(pairs) + settings.decay * w
+    assert np.abs(slope).max() < 1e-5
+    assert m.cut == pytest.approx(float(np.quantile(z @ w, float((y == 0).mean()))))
+
+
+def test_quality_ranking_edges(spark):
+    """Labels of one kind only give the threshold for all; equal texts have equal scores, also at the cut; a repeated id is learned from."""
+    rng = random.Random(35)
+    rows = [(i, words(rng, 40)) for i in range(10)]
+    df = frame(spark, rows)
+    one = quality.train(df, spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, quality int"))
+    assert {round(r.score, 12) for r in quality.score(df, one).collect()} == {0.3}
+    same = frame(spark, [(i, "the very same words " * 20) for i in range(30)])
+    tied = quality.train(same, spark.createDataFrame([(i, i % 2) for i in range(30)] + [(1, 1), (1, 0)], "doc_id long, quality int"))
+    assert len({(r.score, r.predicted) for r in quality.score(same, tied).collect()}) == 1
+    assert quality.score(frame(spark, []), one).count() == 0
+
+
+def test_near_duplicates_of_a_long_path(spark):
+    """Components of a path of 5,000 nodes, its edges dealt at random over tasks that contract a few at a time."""
+    edges = [(i, i + 1) for i in range(5000)]
+    random.Random(36).shuffle(edges)
+    df = common.tune(spark).createDataFrame(edges, "a long, b long").repartition(16)
+    out = near_dup.components(df, chunk=40)
+    assert out.agg(F.count("*"), F.countDistinct("cid"), F.min("label"), F.max("label")).first() == (5001, 5001, 0, 0)
+
+
+def test_near_duplicates_with_hot_nodes(spark, monkeypatch, rows):
+    """Nodes joined by themselves give the same rows."""
+    monkeypatch.setattr(near_dup, "hot_nodes", lambda sizes, total: sizes.where(F.col("n") > 2).select("node"))
+    assert got(near_dup.digest(frame(spark, rows)), 4) == sorted(plain.near_duplicates(rows))
+
+
+def test_near_duplicates_tell_clashing_classes_apart(spark, monkeypatch, rows):
+    """Sets that share the first number of their class are different classes."""
+    real = near_dup.class_of
+    monkeypatch.setattr(near_dup, "class_of", lambda s: (None, None) if real(s)[0] is None else (real(s)[0] % 3, real(s)[1]))
+    docs = common.stored(near_dup.sketches(frame(spark, rows), near_dup.DEFAULT), "sketches")
+    clash = near_dup._classes(docs).where("clash")
+    assert clash.count() == 3
+    apart = near_dup.parted(docs, clash)
+    assert apart.where("cid is not null").select("cid").distinct().count() == docs.where("cid is not null").select("cid", "check").distinct().count()
+    assert apart.columns == docs.columns
+
+
+def test_near_duplicates_without_ids(spark):
+    """Of equal texts without an id one stays; extra columns decide among rows alike in id and text."""
+    text = words(random.Random(37), 60)
+    df = common.tune(spark).createDataFrame([(None, text, 1), (None, text + " more", 2), (None, None, 3), (None, "", 4), (7, "other words", 6), (7, "other words", 5)], "doc_id long, text string, row1 int")
+    left = near_dup.dedup(df)
+    assert left.columns == df.columns and left.count() == 4
+    again = near_dup.dedup(df.repartition(3))
+    assert sorted(r.row1 for r in left.collect()) == sorted(r.row1 for r in again.collect())
+    assert sum(r.kept for r in near_dup.digest(df).collect()) == 5  # both rows with id 7 are their component's least
+
+
+@pytest.mark.parametrize("steps", [2, 3, 4, 5])
+def test_near_duplicates_recall_by_step(spark, steps):
+    """Pairs at 0.75 in nodes that branch several times: at least 0.9 of them, as the calculation says."""
+    rng = random.Random(38)
+    template, rows = [f"t{i}" for i in range(105)], []
+    for i in range(100):
+        both = [f"p{i}x{k}" for k in range(15)]
+        rows += [(2 * i + k, " ".join(template + both + [f"o{rng.randrange(1 << 60)}" for _ in range(19)])) for k in range(2)]
+    settings = near_dup.Settings(limit=2, star_trees=0, steps=steps, trees=4)
+    found = sum(not r.kept for r in near_dup.digest(frame(spark, rows, False), settings).collect())
+    assert found >= 90
+
+
+def test_line_chunks_with_one_hash_are_compared(spark, monkeypatch):
+    """Chunks that share a hash but not their bytes stay, the others go."""
+    rng = random.Random(39)
+    same, other = ("\n".join(words(rng, 6) for _ in range(2)) for _ in range(2))
+    real = line_dedup.chunk_hash
+    monkeypatch.setattr(line_dedup, "chunk_hash", lambda c: (1, 1) if c in (same.encode(), other.encode()) else real(c))
+    rows = [(1, same), (2, other), (3, same), (4, "a b c d\ne f g h i"), (5, "a b c d\ne f g h i")]
+    out = {r.doc_id: r.n_removed for r in line_dedup.digest(frame(spark, rows, False), line_dedup.RUNS).collect()}
+    assert out == {1: 0, 2: 0, 3: 0, 4: 0, 5: 2}

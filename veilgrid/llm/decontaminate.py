@@ -5,17 +5,19 @@ similarity of at least ``similarity`` with it: the sum of the smaller by the sum
 five-word shingles (the whole item where it is shorter). Words are runs of ASCII letters and digits and of all
 characters over 0x7F, in small letters.
 
-A window that shares no shingle with any item has similarity 0, so only windows that hold some item's shingle get
-a fingerprint. Fingerprints are compared through ``radius + 1`` blocks: two within the radius agree in at least
-one block, so no fingerprint within the radius is missed, and each candidate is then verified on its words. The
-radius is wide (24 of 64 bits; about 11 differ at similarity 0.75), so what SimHash itself could miss is
-about one borderline window in 100,000.
+A window and an item without a common shingle have similarity 0, so a window only gets a fingerprint where it holds
+a shingle, and is only compared with the items that have that shingle. Their fingerprints are compared through
+``radius + 1`` blocks: two within the radius agree in at least one block, so no fingerprint within the radius is
+missed, and each candidate is then verified on its words. The radius is wide (24 of 64 bits; about 11 differ at
+similarity 0.75), so what SimHash itself could miss is about one borderline window in 100,000; at such a radius the
+blocks alone prune little, and the shared shingles do most of it. A document shorter than an item is one window.
 
 Items are a query set against all rows: they are collected in blocks of at most ``block_bytes`` of text, however
 many there are, and each block is compared with every document, without a shuffle.
 
 Cases: null and empty texts, and items without words, match nothing. Repeated documents each get their rows;
-repeated items are one. Ties between windows go to the first. Other columns are not read.
+repeated items are one. Ties between windows go to the first. Very long texts are read whole, their windows some thousands
+at a time. Without items, or without documents, nothing matches. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -132,31 +134,33 @@ class Items:
         by_size: dict[int, list[int]] = {}
         for k, w in enumerate(self.words):
             by_size.setdefault(len(w), []).append(k)
-        self.index: dict[int, tuple[np.ndarray, HammingIndex]] = {}
+        self.prints = np.zeros(len(self.words), U)
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for n, which in by_size.items():
             width = min(n, settings.shingle)
-            all_s = [shingles(hashed(self.words[k]), width) for k in which]
-            self.index[n] = (np.array(which), HammingIndex(np.concatenate([fingerprints(s, n - width + 1) for s in all_s]), settings.radius))
-            flat = np.unique(np.concatenate(all_s))
-            found.setdefault(width, []).append((flat, np.full(len(flat), n)))
+            for k in which:
+                all_s = shingles(hashed(self.words[k]), width)
+                self.prints[k] = fingerprints(all_s, n - width + 1)[0]
+                flat = np.unique(all_s)
+                found.setdefault(width, []).append((flat, np.full(len(flat), k)))
+        self.size = np.array([len(w) for w in self.words], np.int64)
         self.known = {}
         for width, parts in found.items():
-            s, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            s, k = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             order = np.argsort(s, kind="stable")
             bits = max(16, int(len(s) * 16).bit_length())
             filled = np.zeros(1 << bits, bool)
             filled[(s >> U(64 - bits)).astype(np.int64)] = True
-            self.known[width] = (s[order], n[order], bits, filled)
+            self.known[width] = (s[order], k[order], bits, filled)
 
     def hits(self, s: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose shingle some item has, with the sizes of those items."""
-        known, sizes, bits, filled = self.known[width]
+        """Places whose shingle some items have, with each of those items."""
+        known, owner, bits, filled = self.known[width]
         at = np.flatnonzero(filled[(s >> U(64 - bits)).astype(np.int64)])
         low, high = np.searchsorted(known, s[at], "left"), np.searchsorted(known, s[at], "right")
         n = high - low
         which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        return np.repeat(at, n), sizes[which]
+        return np.repeat(at, n), owner[which]
 
     def compare(self, words: list[bytes], first_only: bool = False) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity) of the best window for each item that a text holds."""
@@ -168,34 +172,42 @@ class Items:
             s = shingles(h, width)
             if not len(s):
                 continue
-            at, size = self.hits(s, width)
+            at, owner = self.hits(s, width)
+            size = np.minimum(self.size[owner], len(words))  # a shorter document is one window
             for n in np.unique(size).tolist():
-                last = len(words) - n
-                if last < 0:
-                    continue
-                marks = np.zeros(last + 2, np.int64)  # windows that hold a hit, as a difference array
-                p = at[size == n]
-                low, high = np.clip(p - (n - width), 0, last + 1), np.clip(p, -1, last) + 1
-                np.add.at(marks, low, 1)
-                np.add.at(marks, np.maximum(low, high), -1)
-                starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-                self._windows(words, s, starts, n, width, best)
+                mine = size == n
+                self._windows(words, s, at[mine], owner[mine], n, width, best)
                 if first_only and best:
                     return [(0, 0, 0, 0.0)]
         return [(k, start, len(self.words[k]), sim) for k, (sim, start) in sorted(best.items())]
 
-    def _windows(self, words: list[bytes], s: np.ndarray, starts: np.ndarray, n: int, width: int, best: dict) -> None:
-        which, index = self.index[n]
-        step = self.settings.windows_at_once
+    def _windows(self, words: list[bytes], s: np.ndarray, at: np.ndarray, owner: np.ndarray, n: int, width: int, best: dict) -> None:
+        """Compare windows of ``n`` words with the items of which they hold a shingle (``at`` a place, ``owner`` the item)."""
+        last, step = len(words) - n, self.settings.windows_at_once
+        low, high = np.clip(at - (n - width), 0, last), np.clip(at, 0, last)  # windows that hold the place
+        items, owner = np.unique(owner, return_inverse=True)
+        index = HammingIndex(self.prints[items], self.settings.radius)
+        marks = np.zeros(last + 2, np.int64)  # windows that hold any, as a difference array
+        np.add.at(marks, low, 1)
+        np.add.at(marks, high + 1, -1)
+        starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+        first = [np.sort(low[owner == k]) for k in range(len(items))]
+        final = [np.sort(high[owner == k]) for k in range(len(items))]
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
             for i in range(0, len(run), step):
                 a, b = int(run[i]), int(run[min(i + step, len(run)) - 1])
-                prints = fingerprints(s[a : b + n - width + 1], n - width + 1)
-                who, what = index.near(prints)
-                for start, k in zip((who + a).tolist(), which[what].tolist(), strict=True):
-                    sim = similarity(words[start : start + n], self.words[k], width)
-                    if sim >= self.settings.similarity and (k not in best or sim > best[k][0]):
-                        best[k] = (sim, start)
+                who, what = index.near(fingerprints(s[a : b + n - width + 1], n - width + 1))
+                for k in np.unique(what).tolist():
+                    w = who[what == k] + a
+                    # of an item's places more begin at or before the window than end before it: the window holds one
+                    holds = np.searchsorted(first[k], w, "right") > np.searchsorted(final[k], w, "left")
+                    self._verify(words, w[holds].tolist(), int(items[k]), n, width, best)
+
+    def _verify(self, words: list[bytes], starts: list[int], k: int, n: int, width: int, best: dict) -> None:
+        for start in starts:
+            sim = similarity(words[start : start + n], self.words[k], width)
+            if sim >= self.settings.similarity and (k not in best or sim > best[k][0]):
+                best[k] = (sim, start)
 
 
 class Block:

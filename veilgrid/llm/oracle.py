@@ -41,13 +41,13 @@ SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, m.component_id,
 
 _FOLDED = "list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
-#: Shingles of items found in documents, counted in every window of an item's size that holds one.
+#: Shingles of items found in documents, counted in every window of an item's size that holds one; a shorter document is one window.
 DECONTAMINATION = f"""WITH t AS (SELECT item_id, ws, len(ws) AS n, least(len(ws), 5) AS w FROM (SELECT DISTINCT item_id, {_FOLDED} AS ws FROM benchmark) WHERE len(ws) > 0),
 ik AS (SELECT item_id, n, w, key, count(*) AS ic FROM (SELECT item_id, n, w, array_to_string(ws[i:i + w - 1], ' ') AS key FROM (SELECT *, unnest(range(1, n - w + 2)) AS i FROM t)) GROUP BY ALL),
 d AS (SELECT doc_id, {_FOLDED} AS ws FROM documents),
 dk AS (SELECT doc_id, w, len(ws) AS l, i AS pos, array_to_string(ws[i:i + w - 1], ' ') AS key FROM (SELECT doc_id, ws, w, unnest(range(1, len(ws) - w + 2)) AS i FROM d, (SELECT DISTINCT w FROM t) WHERE len(ws) >= w)),
-h AS (SELECT doc_id, item_id, n, n - ik.w + 1 AS m, ic, dk.key, unnest(range(greatest(1, pos - (n - ik.w)), least(pos, l - n + 1) + 1)) AS i FROM dk JOIN ik ON dk.key = ik.key AND dk.w = ik.w),
+h AS (SELECT doc_id, item_id, n, n - ik.w + 1 + least(n, l) - ik.w + 1 AS m, ic, dk.key, unnest(range(greatest(1, pos - (n - ik.w)), least(pos, greatest(l - n, 0) + 1) + 1)) AS i FROM dk JOIN ik ON dk.key = ik.key AND dk.w = ik.w),
 b AS (SELECT doc_id, item_id, n, m, i, sum(least(c, ic)) AS inter FROM (SELECT doc_id, item_id, n, m, i, key, ic, count(*) AS c FROM h GROUP BY ALL) GROUP BY ALL)
-SELECT doc_id, item_id, CAST(i - 1 AS BIGINT) AS first_word, CAST(n AS BIGINT) AS n_words, CAST(inter AS DOUBLE) / CAST(2 * m - inter AS DOUBLE) AS similarity FROM b WHERE 100 * inter >= 75 * (2 * m - inter) QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY CAST(inter AS DOUBLE) / CAST(2 * m - inter AS DOUBLE) DESC, i) = 1"""
+SELECT doc_id, item_id, CAST(i - 1 AS BIGINT) AS first_word, CAST(n AS BIGINT) AS n_words, CAST(inter AS DOUBLE) / CAST(m - inter AS DOUBLE) AS similarity FROM b WHERE 100 * inter >= 75 * (m - inter) QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY CAST(inter AS DOUBLE) / CAST(m - inter AS DOUBLE) DESC, i) = 1"""
 
 SQL = {"op2_decontamination": DECONTAMINATION, "op5_substring_dedup": SUBSTRING, "op7_suffix_array_dedup": SUFFIX_ARRAY, "op10_near_duplicates": NEAR_DUPLICATES}
