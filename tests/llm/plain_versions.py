@@ -193,3 +193,24 @@ def inside_bands(body, bands):
     ends = [*range(bands.chunk_bytes, len(body), bands.chunk_bytes), len(body)]
     out = [not bands.chunk[0] <= ratio(body[e - bands.chunk_bytes : e]) <= bands.chunk[1] for e in ends]
     return sum(out) <= bands.bad_chunks * len(out)
+
+
+def repeated_lines(rows, words=8):
+    """Lines of each document in a run of two or more that an earlier place has too: every place with every other."""
+    split = {d: t.split("\n") for d, t in rows}
+    places = sorted((d, i) for d, x in split.items() for i in range(len(x)))
+    gone = {d: set() for d in split}
+    for k, (d, i) in enumerate(places):
+        for e, j in places[:k]:
+            n = 0
+            while i + n < len(split[d]) and j + n < len(split[e]) and split[d][i + n] == split[e][j + n]:
+                n += 1
+            if n > 1 and sum(len(x.split()) for x in split[d][i : i + n]) >= words:
+                gone[d].update(range(i, i + n))
+    return gone, split
+
+
+def without_line_runs(rows):
+    """Texts without the lines of runs that an earlier place has."""
+    gone, split = repeated_lines([(d, t or "") for d, t in rows])
+    return [(d, "\n".join(x for i, x in enumerate(split[d]) if i not in gone[d])) for d, _ in sorted(rows)]

@@ -379,21 +379,6 @@ def test_line_chunk_boundaries_resist_shifts():
     assert b"".join(x for c in line_dedup.chunks(lines) for x in lines[c[0] : c[1]]) == b"".join(lines)
 
 
-def repeated_lines(rows, words=8):
-    """Lines of each document in a run of two or more that an earlier place has too: every place with every other."""
-    split = {d: t.split("\n") for d, t in rows}
-    places = sorted((d, i) for d, x in split.items() for i in range(len(x)))
-    gone = {d: set() for d in split}
-    for k, (d, i) in enumerate(places):
-        for e, j in places[:k]:
-            n = 0
-            while i + n < len(split[d]) and j + n < len(split[e]) and split[d][i + n] == split[e][j + n]:
-                n += 1
-            if n > 1 and sum(len(x.split()) for x in split[d][i : i + n]) >= words:
-                gone[d].update(range(i, i + n))
-    return gone, split
-
-
 @pytest.mark.parametrize("seed", [21, 22])
 def test_line_runs_match_brute_force(spark, seed):
     """Passages of two lines and more go from between other lines; so do runs of short lines and what a text repeats itself."""
@@ -406,7 +391,7 @@ def test_line_runs_match_brute_force(spark, seed):
             p = rng.choice(passages)
             t += p[rng.randrange(2) :] + [words(rng, rng.randrange(0, 9))]
         rows.append((i, "\n".join(t)))
-    gone, split = repeated_lines(rows)
+    gone, split = plain.repeated_lines(rows)
     assert sum(map(len, gone.values())) > 60
     out = {r.doc_id: (r.n_removed, r.kept_sha256) for r in line_dedup.digest(frame(spark, rows), line_dedup.RUNS).collect()}
     assert out == {d: (len(gone[d]), hashlib.sha256("\n".join(x for i, x in enumerate(lines) if i not in gone[d]).encode()).hexdigest()) for d, lines in split.items()}
@@ -626,3 +611,41 @@ def test_line_chunks_with_one_hash_are_compared(spark, monkeypatch):
     rows = [(1, same), (2, other), (3, same), (4, "a b c d\ne f g h i"), (5, "a b c d\ne f g h i")]
     out = {r.doc_id: r.n_removed for r in line_dedup.digest(frame(spark, rows, False), line_dedup.RUNS).collect()}
     assert out == {1: 0, 2: 0, 3: 0, 4: 0, 5: 2}
+
+
+def test_pii_spans_match_plain(spark):
+    """All eight kinds, in words that speak for and against them: candidates by plain patterns, decisions by the plain sum of weights."""
+    rng = random.Random(41)
+    good = ["iban: DE89 3704 0044 0532 0130 00", "call tel (212) 555-0199", "ssn 123-45-6789", "token = \"" + "deadbeef" * 4 + "01deadbe\"", "card 4111111111111111", "host 10.0.0.1", "write to x@y.com", "phone +1 212 555 0199"]
+    bad = ["order 000-45-6789", "version " + "0" * 40, "order 4111 1111 1111 1112", "version 300.1.1.1", "+1--2", "build 012-555-0199", "order XX12 ABCD EFGH 12341"]
+    rows = [(i, " and\n".join(rng.choice(good + bad) for _ in range(rng.randrange(1, 9)))) for i in range(300)]
+    df = frame(spark, rows)
+    found = pii.candidates(df)
+    model = pii.train(found)
+    own = {"iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "local_phone": r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])", "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])"}
+    named = dict(rows)
+    seen = {(r.doc_id, x.kind, x.start, x.stop) for r in found.collect() for x in r.spans if x.kind in own}
+    assert seen == {(d, k, m.start(), m.end()) for d, t in rows for k, p in own.items() for m in re.finditer(p, t)} and len({k for _, k, _, _ in seen}) == 4
+    x = F.col("x")
+    every = found.select("doc_id", F.explode("spans").alias("x")).select("doc_id", x["kind"], x["start"], x["stop"], x["base"], *(v.alias(f"f{i}") for i, v in enumerate(pii.features(x)))).collect()
+    want = sorted((r[0], r[1], r[2], r[3]) for r in every if r[4] or model.kind[r[1]] + sum(model.weights.get((r[1], n, v), 0.0) for n, v in zip(pii.FEATURES, r[5:], strict=True)) >= 0)
+    out = sorted((r.doc_id, s.split(":")[0], int(s.split(":")[1]), int(s.split(":")[2])) for r in pii.digest(df).collect() for s in r.spans.split(",") if s)
+    assert out == want
+    kept = {(k, named[d][a:b]) for d, k, a, b in out}
+    assert {k for k, _ in kept} == set(pii.NAMES)
+    assert not kept & {("national_id", "000-45-6789"), ("card", "4111 1111 1111 1112"), ("secret", "0" * 40), ("ip", "300.1.1.1"), ("local_phone", "012-555-0199")}
+
+
+def test_pii_many_matches_in_one_text(spark):
+    """Tens of thousands of matches in one text keep their places."""
+    text = "a@b.co " * 30_000
+    r = pii.digest(frame(spark, [(1, text)])).first()
+    assert r.n_email == 30_000 and r.base_sha256 == plain.pii([(1, text)])[0][5]
+
+
+def test_repeated_rows_alike(spark):
+    """Repeated rows each get a row, with the same values."""
+    rows = [(1, "MIT License a@b.co " * 30), (1, "MIT License a@b.co " * 30), (2, "x")]
+    for out in (license_scan.scan(frame(spark, rows)), compression.score(frame(spark, rows)), pii.digest(frame(spark, rows))):
+        got_rows = [tuple(r) for r in out.collect()]
+        assert len(got_rows) == 3 and len(set(got_rows)) == 2

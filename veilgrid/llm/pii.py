@@ -2,16 +2,24 @@
 
 Patterns propose candidate spans. Labelers (format, checksum, gazetteer, context, boundary, shape) each vote for,
 against, or abstain. Expectation-maximisation estimates how reliable each labeler is from how votes agree over all
-candidates of all documents, and its posteriors train the span classifier, a logistic model over votes and kinds.
-Votes are counted by pattern before they leave the executors: kinds x 3^labelers rows at most, whatever the
-input's size, so the estimation runs on a table of bounded size.
+candidates of all documents. Its posteriors are the targets of the span classifier, a logistic model with features of its
+own: the kind's length, separators, character mix and repetition of the value, the characters round it, and
+the words before it. So a span that no labeler knows is judged by what it looks like and where it stands.
+
+Candidates are counted by votes and features before they leave the executors. The estimation reads the counts by vote
+pattern, kinds x 3^labelers rows at most, whatever the input's size; the classifier is fitted to at most ``max_patterns``
+rows of equal votes and features, the most frequent ones.
+No text and no value is ever written: candidates are found again when the classifier is applied.
+
+The gazetteers hold domains, calling codes, card issuers and countries of account numbers. There are none of names or
+places, as no kind here is one.
 
 Base spans (valid e-mail addresses, IPv4 addresses, card and telephone numbers) always stay; the classifier
 decides on the rest. Positions are code points, end exclusive.
 
 Cases: a null or empty text has no spans. Repeated rows each get a row. Texts are read whole; patterns start only
-where a run of their characters starts and use possessive repeats, so long runs cost one pass. Without any
-candidate the classifier is never asked. Other columns are not read.
+where a run of their characters starts and use possessive repeats, so long runs cost one pass; places are added up in blocks, which keeps texts with thousands of
+matches affordable. Without any candidate the classifier is never asked. An empty table gives an empty one. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +28,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +73,7 @@ NAMES = tuple(k.name for k in KINDS)
 DOMAINS = "com|org|net|edu|gov|io|info|biz|int|eu|us|uk|de|fr|es|it|nl|ch|at|be|pl|se|no|dk|fi|pt|ie|ca|au|nz|jp|kr|cn|in|br|mx"
 CALLING_CODES = "1|7|20|27|3[0-69]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 ISSUERS = "4|5[1-5]|2[2-7]|3[47]|35|6011|64|65|62"
+ACCOUNT_COUNTRIES = "AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|CH|CY|CZ|DE|DK|EE|EG|ES|FI|FO|FR|GB|GE|GI|GL|GR|HR|HU|IE|IL|IS|IT|KW|KZ|LB|LI|LT|LU|LV|MC|MD|ME|MK|MT|NL|NO|PK|PL|PT|QA|RO|RS|SA|SE|SI|SK|SM|TN|TR|UA|XK"
 
 #: Words near a span that speak for its kind, and words that speak against any.
 CUES = {
@@ -81,22 +91,49 @@ AGAINST = "version|release|isbn|issn|order|invoice|build|commit|sha1|md5|sha256|
 LABELERS = ("format", "checksum", "gazetteer", "context", "boundary", "shape")
 BEFORE = 48
 
+#: Matches added up at once.
+BLOCK = 128
+
+FEATURES = ("valid", "length", "signs", "mix", "variety", "left", "right", "word", "line")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once: as a lambda's variable, as projections may be merged into their readers."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
+
+
+def _each(count: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` for 0 to count - 1; an empty array for 0."""
+    return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count), make)
+
 
 def _spans(found: Column, gaps: Column) -> Column:
-    """Matches with their places, by a running length over the text between them."""
-    kind = "array<struct<start:bigint,stop:bigint,value:string,before:string,after:string>>"
+    """Matches with their places: what lies before their block, and before them in it.
+
+    No array grows match by match and none but a block's is cut, as each step of a fold and each cut copies the whole.
+    """
+
+    def placed(z: Column, lengths: Column, sums: Column) -> Column:
+        def make(b: Column, i: Column) -> Column:
+            gap, value = F.get(z["gaps"], b * BLOCK + i), F.get(z["found"], b * BLOCK + i)
+            start = (F.get(sums, b) + _total(F.slice(F.get(lengths, b), F.lit(1), i)) + F.length(gap)).cast("bigint")
+            after = F.left(F.get(z["gaps"], b * BLOCK + i + 1), F.lit(1))
+            return F.struct(start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"), F.right(gap, F.lit(BEFORE)).alias("before"), after.alias("after"))
+
+        return F.flatten(_each(F.size(lengths), lambda b: _each(F.size(F.get(lengths, b)), lambda i: make(b, i))))
 
-    def add(acc: Column, i: Column) -> Column:
-        gap, value = F.get(gaps, i), F.get(found, i)
-        start = acc["pos"] + F.length(gap)
-        stop = start + F.length(value)
-        item = F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"), F.right(gap, F.lit(BEFORE)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"))
-        return F.struct(stop.alias("pos"), F.concat(acc["out"], F.array(item)).alias("out"))
+    def blocks(z: Column) -> Column:
+        length = lambda i: F.length(F.get(z["gaps"], i)) + F.length(F.get(z["found"], i))
+        return _each(F.ceil(F.size(z["found"]) / BLOCK).cast("int"), lambda b: F.transform(F.sequence(b * BLOCK, F.least((b + 1) * BLOCK, F.size(z["found"])) - 1), length))
 
-    empty = F.from_json(F.lit("[]"), kind)
-    begin = F.struct(F.lit(0).cast("bigint").alias("pos"), empty.alias("out"))
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), begin, add, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, folded).otherwise(empty)
+    def sums(lengths: Column) -> Column:
+        return _let(F.transform(lengths, _total), lambda t: _each(F.size(t), lambda b: _total(F.slice(t, F.lit(1), b))))
+
+    return _let(F.struct(found.alias("found"), gaps.alias("gaps")), lambda z: _let(blocks(z), lambda n: _let(sums(n), lambda before: placed(z, n, before))))
 
 
 def candidates(df: DataFrame) -> DataFrame:
@@ -131,7 +168,7 @@ def votes(x: Column) -> list[Column]:
     before = F.lower(x["before"])
     cue = F.coalesce(*(F.when(kind == k, before.rlike(rf"(?:^|[^a-z])(?:{words})[^a-z]*(?:[a-z]+[^a-z]+)?$")) for k, words in CUES.items()))
     against = before.rlike(rf"(?:^|[^a-z])(?:{AGAINST})[^a-z]*$")
-    first = F.when(is_phone, digits.rlike(f"^(?:{CALLING_CODES})")).when(is_card, digits.rlike(f"^(?:{ISSUERS})")).when(is_mail, F.lower(value).rlike(rf"\.(?:{DOMAINS})$")).when(is_ip, ~value.rlike(r"^(?:0|127|255|22[4-9]|23[0-9])\."))
+    first = F.when(is_phone, digits.rlike(f"^(?:{CALLING_CODES})")).when(is_card, digits.rlike(f"^(?:{ISSUERS})")).when(is_mail, F.lower(value).rlike(rf"\.(?:{DOMAINS})$")).when(is_ip, ~value.rlike(r"^(?:0|127|255|22[4-9]|23[0-9])\.")).when(kind == "iban", value.rlike(f"^(?:{ACCOUNT_COUNTRIES})"))
     edge = F.regexp_extract(x["before"], "(.)$", 1).rlike("[A-Za-z0-9]") | x["after"].rlike("[A-Za-z0-9]")
     flat = digits.rlike(r"^([0-9])\1+$") | digits.rlike("^0?12345678")
     long_enough = F.when(is_card, F.length(digits).between(15, 19)).when(is_phone, F.length(digits).between(10, 13)).when(is_secret, F.length(value).isin(32, 40, 64, 128))
@@ -145,22 +182,64 @@ def votes(x: Column) -> list[Column]:
     ]
 
 
+def features(x: Column) -> list[Column]:
+    """What the classifier sees of a candidate: short names of few values each."""
+    value, before = x["value"], F.lower(x["before"])
+    bare = F.regexp_replace(value, "[^A-Za-z0-9]", "")
+    size = F.length(value)
+    length = F.when(size < 8, "under 8").when(size < 12, "8").when(size < 16, "12").when(size < 20, "16").when(size < 32, "20").otherwise("32")
+    sign = lambda c, name: F.when(F.contains(value, F.lit(c)), F.lit(name)).otherwise(F.lit(""))
+    signs = F.concat(sign(" ", "space "), sign("-", "hyphen "), sign(".", "dot "), sign("(", "bracket "))
+    mix = F.concat(*(F.when(value.rlike(p), F.lit(n)).otherwise(F.lit("")) for p, n in (("[0-9]", "0"), ("[a-z]", "a"), ("[A-Z]", "A"))))
+    distinct = F.size(F.array_distinct(F.split(bare, ""))) - 1
+    variety = F.when(distinct * 4 <= F.length(bare), "low").when(distinct * 2 <= F.length(bare), "middle").otherwise("high")
+    kind_of = lambda c: F.when(c == "", "edge").when(c.rlike("[\\s]"), "space").when(c.rlike("[A-Za-z0-9]"), "letter").when(c.rlike("[\"'(\\[<{}>\\])]"), "bracket").otherwise("sign")
+    word = F.regexp_extract(before, r"([a-z][a-z0-9]*)[^a-z]*$", 1)
+    near = F.when(word == "", "none").when(word.rlike(rf"^(?:{AGAINST})"), "against").when(F.coalesce(*(F.when(x["kind"] == k, word.rlike(rf"^(?:{w})")) for k, w in CUES.items())), "own").when(word.rlike("^(?:" + "|".join(CUES.values()) + ")"), "other kind").otherwise("other")
+    line = F.when(before.rlike(r"(?:^|\n)\s*$"), "first").when(before.rlike(r"[:=]\s*[\"']?$"), "after a sign").otherwise("inside")
+    return [x["valid"].cast("string"), length, signs, mix, variety, kind_of(F.right(x["before"], F.lit(1))), kind_of(x["after"]), near, line]
+
+
 @dataclass(frozen=True)
 class Classifier:
-    """Logistic weights: one for each kind, one for each labeler's vote for and against."""
+    """Logistic weights: one for each kind, and one for each value of each feature within a kind."""
 
     kind: dict[str, float]
-    yes: tuple[float, ...]
-    no: tuple[float, ...]
+    weights: dict[tuple[str, str, str], float]
     reliability: tuple[tuple[float, float], ...]
 
     def probability(self, x: Column) -> Column:
         z = F.coalesce(*(F.when(x["kind"] == k, F.lit(w)) for k, w in self.kind.items()), F.lit(0.0))
-        for v, y, n in zip(votes(x), self.yes, self.no, strict=True):
-            z = z + F.when(v > 0, F.lit(y)).when(v < 0, F.lit(n)).otherwise(F.lit(0.0))
+        for name, value in zip(FEATURES, features(x), strict=True):
+            own = [(f"{k} {v}", w) for (k, n, v), w in self.weights.items() if n == name]
+            if own:
+                table = F.create_map(*(F.lit(v) for pair in own for v in pair))
+                z = z + F.coalesce(F.try_element_at(table, F.concat_ws(" ", x["kind"], value)), F.lit(0.0))
         return 1 / (1 + F.exp(-z))
 
 
+def logistic(rows: list[tuple[str, tuple[str, ...], float, float]], decay: float = 1e-3, rounds: int = 300) -> tuple[dict[str, float], dict[tuple[str, str, str], float]]:
+    """Weights for rows of (kind, features, target, weight), by gradient steps of the mean logistic loss of each kind."""
+    kinds: dict[str, float] = {}
+    weights: dict[tuple[str, str, str], float] = {}
+    for kind in sorted({r[0] for r in rows}):
+        own = [r for r in rows if r[0] == kind]
+        names = sorted({(n, v) for _, f, _, _ in own for n, v in zip(FEATURES, f, strict=True)})
+        place = {x: i for i, x in enumerate(names)}
+        at = np.array([[place[x] for x in zip(FEATURES, f, strict=True)] for _, f, _, _ in own])
+        target, share = np.array([r[2] for r in own]), np.array([r[3] for r in own], float)
+        share /= share.sum()
+        w, bias = np.zeros(len(names)), 0.0
+        for _ in range(rounds):
+            g = (1 / (1 + np.exp(-np.clip(bias + w[at].sum(1), -60, 60))) - target) * share
+            step = np.bincount(at.ravel(), np.repeat(g, at.shape[1]), len(names))
+            bias -= 0.8 * float(g.sum())
+            w -= 0.8 * (step + decay * w)
+        kinds[kind] = bias
+        weights |= {(kind, n, v): float(w[i]) for (n, v), i in place.items()}
+    return kinds, weights
+
+
 def estimate(counts: list[tuple[str, tuple[int, ...], int]], rounds: int = 60) -> tuple[list[float], tuple[tuple[float, float], ...]]:
     """Expectation-maximisation over counted votes: posteriors by pattern, and each labeler's two reliabilities.
 
@@ -198,39 +277,27 @@ def estimate(counts: list[tuple[str, tuple[int, ...], int]], rounds: int = 60) -
     return q, tuple(rates)
 
 
-def train(found: DataFrame, rounds: int = 400) -> Classifier:
+def train(found: DataFrame, max_patterns: int = 20_000) -> Classifier:
     """Estimate reliabilities from all candidates, then fit the span classifier to the posteriors."""
     x = F.col("x")
-    flat = found.select(F.explode("spans").alias("x")).select(x["kind"].alias("kind"), *(v.alias(n) for v, n in zip(votes(x), LABELERS, strict=True)))
-    rows = flat.groupBy("kind", *LABELERS).count().orderBy("kind", *LABELERS).collect()  # kinds x 3^labelers rows at most
-    counts = [(r["kind"], tuple(int(r[n]) for n in LABELERS), int(r["count"])) for r in rows]
+    named = [v.alias(n) for v, n in zip(votes(x), LABELERS, strict=True)] + [v.alias(f"f_{n}") for v, n in zip(features(x), FEATURES, strict=True)]
+    flat = found.select(F.explode("spans").alias("x")).select(x["kind"].alias("kind"), *named)
+    own = [f"f_{n}" for n in FEATURES]
+    patterns = common.stored(flat.groupBy("kind", *LABELERS, *own).agg(F.count("*").alias("n")), "pii-patterns")  # counts of names, no values
+    rows = patterns.groupBy("kind", *LABELERS).agg(F.sum("n").alias("n")).orderBy("kind", *LABELERS).collect()  # kinds x 3^labelers rows at most
+    counts = [(r["kind"], tuple(int(r[n]) for n in LABELERS), int(r["n"])) for r in rows]
     q, rates = estimate(counts)
-    kinds = {k: 0.0 for k in NAMES}
-    yes, no = [0.0] * len(LABELERS), [0.0] * len(LABELERS)
-    total = sum(n for *_, n in counts) or 1
-    for _ in range(rounds):
-        gk, gy, gn = dict.fromkeys(NAMES, 0.0), [0.0] * len(LABELERS), [0.0] * len(LABELERS)
-        for target, (k, v, n) in zip(q, counts, strict=True):
-            z = kinds[k] + sum(yes[j] if v[j] > 0 else no[j] if v[j] < 0 else 0.0 for j in range(len(LABELERS)))
-            g = (1 / (1 + math.exp(-max(-60.0, min(60.0, z)))) - target) * n / total
-            gk[k] += g
-            for j in range(len(LABELERS)):
-                if v[j] > 0:
-                    gy[j] += g
-                elif v[j] < 0:
-                    gn[j] += g
-        for k in kinds:
-            kinds[k] -= 2.0 * (gk[k] + 1e-4 * kinds[k])
-        for j in range(len(LABELERS)):
-            yes[j] -= 2.0 * (gy[j] + 1e-4 * yes[j])
-            no[j] -= 2.0 * (gn[j] + 1e-4 * no[j])
-    return Classifier(kinds, tuple(yes), tuple(no), rates)
-
-
-def detect(df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    target = {(k, v): p for p, (k, v, _) in zip(q, counts, strict=True)}
+    some = patterns.orderBy(F.col("n").desc(), "kind", *LABELERS, *own).limit(max_patterns).collect()  # bounded by max_patterns
+    common.drop(patterns)
+    kinds, weights = logistic([(r["kind"], tuple(r[n] for n in own), target[r["kind"], tuple(int(r[n]) for n in LABELERS)], r["n"]) for r in some])
+    return Classifier(kinds, weights, rates)
+
+
+def detect(df: DataFrame, threshold: float = 0.5, model: Classifier | None = None) -> DataFrame:
     """``doc_id`` and the accepted ``spans`` of each document: base spans, and others the classifier takes."""
-    found = common.stored(candidates(df), "pii-candidates")
-    model = train(found)
+    found = candidates(df)
+    model = model or train(found)
     taken = F.filter("spans", lambda x: x["base"] | (model.probability(x) >= threshold))
     return found.select("doc_id", taken.alias("spans"))
 
