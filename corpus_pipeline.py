@@ -1,13 +1,15 @@
 """Corpus preparation as a chain of stages, each written as Parquet and read again as the next one's documents.
 
 1. quality rules: documents outside the compression bands, too short or too repetitive go;
-2. line dedup: repeated multi-line chunks are cut from the texts; documents go that nothing is left of;
+2. line dedup: runs of lines that stand at an earlier place too are cut from the texts; documents go that nothing is left of;
 3. near duplicates: one document of each component stays;
 4. decontamination: documents that hold a benchmark item go;
 5. byte-level BPE: token counts and digests of the ids and of what they decode to.
 
 All stages but the last return the columns of ``documents``, whatever they are. Every stage works on all rows
-of its predecessor. An empty table passes through; null texts fail the first stage.
+of its predecessor. An empty table passes through; null and empty texts fail the first stage; very long texts are read
+whole. Of repeated rows, and of equal texts with different ids, the least id is left: line dedup empties the later
+ones, and rows alike in id and text become one in the third stage. Columns of any other name stay as they are.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.tune(spark)
-    return line_dedup.dedup(docs, drop_emptied=True)
+    return line_dedup.dedup(docs, line_dedup.RUNS, drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
