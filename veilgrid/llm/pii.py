@@ -45,6 +45,11 @@ def _luhn(digits: Column) -> Column:
     return F.call_function("luhn_check", digits)
 
 
+def _small(x: Column) -> Column:
+    """A-Z as a-z: all that the words looked for need. ``lower`` first prepares tables of every character, seconds in each executor."""
+    return F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` proposes, ``there`` is a cheap test of a whole text, ``valid`` the format's own rule for a match."""
@@ -91,49 +96,37 @@ AGAINST = "version|release|isbn|issn|order|invoice|build|commit|sha1|md5|sha256|
 LABELERS = ("format", "checksum", "gazetteer", "context", "boundary", "shape")
 BEFORE = 48
 
-#: Matches added up at once.
+#: Matches added up at once: each step of a fold copies what it has so far, so blocks are folded before they are joined.
 BLOCK = 128
 
 FEATURES = ("valid", "length", "signs", "mix", "variety", "left", "right", "word", "line")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once: as a lambda's variable, as projections may be merged into their readers."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _total(lengths: Column) -> Column:
-    return F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
-
-
-def _each(count: Column, make: Callable[[Column], Column]) -> Column:
-    """``make`` for 0 to count - 1; an empty array for 0."""
-    return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count), make)
+def _once(value: Column) -> Column:
+    """The value, worked out once for all that read it: projections are merged with their readers unless they look random."""
+    return F.when(F.rand(0) >= 0, value)
 
 
 def _spans(found: Column, gaps: Column) -> Column:
-    """Matches with their places: what lies before their block, and before them in it.
-
-    No array grows match by match and none but a block's is cut, as each step of a fold and each cut copies the whole.
-    """
-
-    def placed(z: Column, lengths: Column, sums: Column) -> Column:
-        def make(b: Column, i: Column) -> Column:
-            gap, value = F.get(z["gaps"], b * BLOCK + i), F.get(z["found"], b * BLOCK + i)
-            start = (F.get(sums, b) + _total(F.slice(F.get(lengths, b), F.lit(1), i)) + F.length(gap)).cast("bigint")
-            after = F.left(F.get(z["gaps"], b * BLOCK + i + 1), F.lit(1))
-            return F.struct(start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"), F.right(gap, F.lit(BEFORE)).alias("before"), after.alias("after"))
+    """Matches with their places, by a running length over the text between them, block by block."""
+    kind = "array<struct<start:bigint,stop:bigint,value:string,before:string,after:string>>"
 
-        return F.flatten(_each(F.size(lengths), lambda b: _each(F.size(F.get(lengths, b)), lambda i: make(b, i))))
+    def add(acc: Column, i: Column) -> Column:
+        gap, value = F.get(gaps, i), F.get(found, i)
+        start = acc["pos"] + F.length(gap)
+        stop = start + F.length(value)
+        item = F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"), F.right(gap, F.lit(BEFORE)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"))
+        return F.struct(stop.alias("pos"), F.concat(acc["out"], F.array(item)).alias("out"))
 
-    def blocks(z: Column) -> Column:
-        length = lambda i: F.length(F.get(z["gaps"], i)) + F.length(F.get(z["found"], i))
-        return _each(F.ceil(F.size(z["found"]) / BLOCK).cast("int"), lambda b: F.transform(F.sequence(b * BLOCK, F.least((b + 1) * BLOCK, F.size(z["found"])) - 1), length))
+    empty, blocks = F.from_json(F.lit("[]"), kind), F.from_json(F.lit("[]"), f"array<{kind}>")
 
-    def sums(lengths: Column) -> Column:
-        return _let(F.transform(lengths, _total), lambda t: _each(F.size(t), lambda b: _total(F.slice(t, F.lit(1), b))))
+    def add_block(acc: Column, b: Column) -> Column:
+        block = F.aggregate(F.sequence(b, F.least(b + BLOCK, F.size(found)) - 1), F.struct(acc["pos"].alias("pos"), empty.alias("out")), add)
+        return F.struct(block["pos"].alias("pos"), F.concat(acc["out"], F.array(block["out"])).alias("out"))
 
-    return _let(F.struct(found.alias("found"), gaps.alias("gaps")), lambda z: _let(blocks(z), lambda n: _let(sums(n), lambda before: placed(z, n, before))))
+    begin = F.struct(F.lit(0).cast("bigint").alias("pos"), blocks.alias("out"))
+    folded = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1, F.lit(BLOCK)), begin, add_block, lambda acc: F.flatten(acc["out"]))
+    return F.when(F.size(found) > 0, folded).otherwise(empty)
 
 
 def candidates(df: DataFrame) -> DataFrame:
@@ -144,8 +137,9 @@ def candidates(df: DataFrame) -> DataFrame:
     parts = [F.col("doc_id")]
     for k in KINDS:
         there = k.there(t)
-        parts.append(F.when(there, F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"m_{k.name}"))
-        parts.append(F.when(there, F.split(t, k.pattern, -1)).otherwise(none).alias(f"g_{k.name}"))
+        # patterns run once for each text, not once for each match
+        parts.append(_once(F.when(there, F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none)).alias(f"m_{k.name}"))
+        parts.append(_once(F.when(there, F.split(t, k.pattern, -1)).otherwise(none)).alias(f"g_{k.name}"))
     split = texts.select(*parts)
     placed = split.select("doc_id", *(_spans(F.col(f"m_{k.name}"), F.col(f"g_{k.name}")).alias(k.name) for k in KINDS))
 
@@ -153,7 +147,7 @@ def candidates(df: DataFrame) -> DataFrame:
         return F.transform(k.name, lambda x: F.struct(F.lit(k.name).alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after"), k.valid(x["value"]).alias("valid"), (F.lit(k.base) & k.valid(x["value"])).alias("base")))
 
     spans = F.concat(*(named(k) for k in KINDS))
-    return placed.select("doc_id", spans.alias("spans"))
+    return placed.select("doc_id", _once(spans).alias("spans"))
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -165,10 +159,10 @@ def votes(x: Column) -> list[Column]:
     kind, value = x["kind"], x["value"]
     digits = _digits(value)
     is_card, is_mail, is_phone, is_ip, is_secret = (kind == k for k in ("card", "email", "phone", "ip", "secret"))
-    before = F.lower(x["before"])
+    before = _small(x["before"])
     cue = F.coalesce(*(F.when(kind == k, before.rlike(rf"(?:^|[^a-z])(?:{words})[^a-z]*(?:[a-z]+[^a-z]+)?$")) for k, words in CUES.items()))
     against = before.rlike(rf"(?:^|[^a-z])(?:{AGAINST})[^a-z]*$")
-    first = F.when(is_phone, digits.rlike(f"^(?:{CALLING_CODES})")).when(is_card, digits.rlike(f"^(?:{ISSUERS})")).when(is_mail, F.lower(value).rlike(rf"\.(?:{DOMAINS})$")).when(is_ip, ~value.rlike(r"^(?:0|127|255|22[4-9]|23[0-9])\.")).when(kind == "iban", value.rlike(f"^(?:{ACCOUNT_COUNTRIES})"))
+    first = F.when(is_phone, digits.rlike(f"^(?:{CALLING_CODES})")).when(is_card, digits.rlike(f"^(?:{ISSUERS})")).when(is_mail, _small(value).rlike(rf"\.(?:{DOMAINS})$")).when(is_ip, ~value.rlike(r"^(?:0|127|255|22[4-9]|23[0-9])\.")).when(kind == "iban", value.rlike(f"^(?:{ACCOUNT_COUNTRIES})"))
     edge = F.regexp_extract(x["before"], "(.)$", 1).rlike("[A-Za-z0-9]") | x["after"].rlike("[A-Za-z0-9]")
     flat = digits.rlike(r"^([0-9])\1+$") | digits.rlike("^0?12345678")
     long_enough = F.when(is_card, F.length(digits).between(15, 19)).when(is_phone, F.length(digits).between(10, 13)).when(is_secret, F.length(value).isin(32, 40, 64, 128))
@@ -184,7 +178,7 @@ def votes(x: Column) -> list[Column]:
 
 def features(x: Column) -> list[Column]:
     """What the classifier sees of a candidate: short names of few values each."""
-    value, before = x["value"], F.lower(x["before"])
+    value, before = x["value"], _small(x["before"])
     bare = F.regexp_replace(value, "[^A-Za-z0-9]", "")
     size = F.length(value)
     length = F.when(size < 8, "under 8").when(size < 12, "8").when(size < 16, "12").when(size < 20, "16").when(size < 32, "20").otherwise("32")
@@ -299,7 +293,7 @@ def detect(df: DataFrame, threshold: float = 0.5, model: Classifier | None = Non
     found = candidates(df)
     model = model or train(found)
     taken = F.filter("spans", lambda x: x["base"] | (model.probability(x) >= threshold))
-    return found.select("doc_id", taken.alias("spans"))
+    return found.select("doc_id", _once(taken).alias("spans"))
 
 
 def digest(df: DataFrame) -> DataFrame:
