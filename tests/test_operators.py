@@ -16,7 +16,7 @@ def span(doc, seq, kind, text, start, end, tokens, confidence, rule="r", ocr_con
 
 
 def table(spark, rows):
-    return spark.createDataFrame(rows, SPAN_TYPES)
+    return spark.createDataFrame([(*r, []) for r in rows], SPAN_TYPES)
 
 
 def kept(df):

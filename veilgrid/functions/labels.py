@@ -77,7 +77,11 @@ DOCUMENT_FIELDS = {
     "foreigner_registration_number": ("외국인등록번호", "외국인번호", "국내거소신고번호", "거소신고번호", "가입자고객번호", "실명확인번호"),
     "passport_number": TABLE_LABELS["passport_number"],
     "driver_license_number": TABLE_LABELS["driver_license_number"],
-    "phone_number": (*(x for x in TABLE_LABELS["phone_number"] if x != "전화휴대폰번호"), "전화/휴대폰번호", "대표전화", "대표번호", "고객센터", "상담전화", "문의전화"),
+    "phone_number": (
+        "전화", "전화번호", "연락처", "휴대전화", "휴대전화번호", "휴대폰", "휴대폰번호", "핸드폰", "핸드폰번호", "자택전화", "자택전화번호",
+        "직장전화", "직장전화번호", "자택연락처", "우선연락처", "담당자연락처", "대표자연락처", "사업장연락처", "고객연락처", "직장번호",
+        "법인휴대폰", "TEL", "PHONE", "MOBILE", "전화/휴대폰번호", "대표전화", "대표번호", "고객센터", "상담전화", "문의전화",
+    ),
     "email_address": ("이메일", "이메일주소", "전자우편", "전자우편주소", "결과수신이메일", "전자세금계산서수신이메일", "전자세금계산서수신E-MAIL", "EMAIL", "email", "E-MAIL", "E-Mail", "E-mail", "e-mail", "e-mail주소"),
 }
 SERVICE_LINE_FIELDS = ("대표전화", "대표번호", "고객센터", "상담전화", "문의전화", "콜센터", "ARS", "전화번호", "TEL", "연락처")
@@ -90,6 +94,25 @@ BANKS = (
 )
 ACCOUNT_LABELS = ("계좌번호", "계좌", "입금계좌", "결제계좌")
 
+#: Labels of an account's owner, labels that end an address field's value, and parts of place names.
+OWNER_LABELS = ("예금주", "계좌주", "명의인", "성명")
+FIELD_ENDS = (
+    "사업장소재지", "소재지", "본점소재지", "주소", "사업의종류", "업태", "종목", "발급사유", "개업연월일", "대표이사", "대표자", "성명",
+    "생년월일", "전화", "팩스", "전자우편주소", "이메일",
+)
+PROVINCE_ENDS = ("특별시", "광역시", "특별자치시", "특별자치도")
+ROAD_ENDS = ("대로", "로", "길")
+UNIT_ENDS = ("동", "호", "층")
+#: Labels behind which a dot stands for a space before a name, and signs that recognition puts for a space.
+NAME_LABELS = ("대표이사", "대표자", "성명", "이름", "신청인", "신청자", "민원인", "청구인", "보호자", "대리인")
+SPACE_SIGNS = ".,·ㆍ:;"
+NAME_SIGNS = ".·ㆍ"
+#: Names of units and buildings in an address's further lines.
+PLACE_ENDS = (
+    "특별시", "광역시", "특별자치시", "특별자치도", "시", "군", "구", "읍", "면", "동", "리", "대로", "번길", "로", "길", "아파트", "빌딩", "타워",
+    "센터", "오피스텔", "상가", "플라자",
+)
+
 #: Common family names, for the check of a person's name.
 SURNAMES = "김이박최정강조윤장임한오서신권황안송전홍유고문양손배백허남심노하곽성차주우구나민진지엄채원천방공현함변염여추도소석선설마길연위표명기반라왕금옥육인맹제모탁국어은편용형"
 
@@ -102,3 +125,8 @@ ENTITIES = {
     "ACCOUNTNUM": ("account_card_number", 0.90), "DRIVERLICENSENUM": ("driver_license_number", 0.90), "TIME": ("time", 0.90), "COMPANY": ("company_name", 0.90),
 }
 SEMANTIC = ("SURNAME", "GIVENNAME", "CITY", "STREET", "ZIPCODE", "BUILDINGNUM")
+
+
+def parse_field_labels(text: str) -> tuple[str, ...]:
+    """Labels that a user wrote, one a line or with commas between them: trimmed, in order, each once."""
+    return tuple(dict.fromkeys(x.strip() for x in text.replace("\n", ",").replace("\r", ",").split(",") if x.strip()))

@@ -107,9 +107,9 @@ MATCH = "struct<label:string,category:string,start:int,stop:int,value:string,con
 
 
 def near_prefix(text: Column, start: Column, labels: Iterable[str], reach: int = 32) -> Column:
-    """Whether one of the labels stands right before ``start``, white space and separators aside."""
+    """Whether one of the labels stands right before ``start``: white space goes first, then the separators at the end."""
     begin = F.greatest(start - reach, F.lit(0))
-    prefix = F.regexp_replace(text.substr(begin + 1, start - begin), "(?U)\\s|[:：-]+\\s*$", "")
+    prefix = F.regexp_replace(F.regexp_replace(text.substr(begin + 1, start - begin), "(?U)\\s", ""), "[:：-]+$", "")
     return prefix.rlike("(?:" + "|".join("\\Q" + "".join(x.split()) + "\\E" for x in labels) + ")$")
 
 
@@ -145,9 +145,9 @@ def matches_in(text: Column, categories: Iterable[str] | None = None, relaxed: b
     return applied(text, rules_for(categories, relaxed), as_of)
 
 
-def applied(text: Column, rules: Iterable[Rule], as_of: str = AS_OF) -> Column:
-    """``array<MATCH>`` of some rules, in their order."""
-    found = [_applied(text, r, as_of) for r in rules]
+def applied(text: Column, rules: Iterable[Rule], as_of: str = AS_OF, instead: dict[str, Column] | None = None) -> Column:
+    """``array<MATCH>`` of some rules, in their order. ``instead``: texts of the same length for the rules of some categories."""
+    found = [_applied((instead or {}).get(r.category, text), r, as_of) for r in rules]
     return F.concat(*found) if found else F.from_json(F.lit("[]"), f"array<{MATCH}>")
 
 

@@ -6,8 +6,8 @@ and indexes need no shuffle. ``synthetic`` lays plain text out by a fixed rule,
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
-from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -74,35 +74,44 @@ def outside(tokens: Column, ocr: Column) -> Column:
 
 
 class _Group:
-    """Tokens of a line in the making; medians follow from sorted lists that grow one by one."""
+    """Tokens of a line in the making; its band follows from the medians of two lists that stay sorted."""
 
-    __slots__ = ("tokens", "top", "bottom")
+    __slots__ = ("tokens", "top", "bottom", "middles", "heights")
 
     def __init__(self) -> None:
         self.tokens: list[dict] = []
+        self.middles: list[float] = []
+        self.heights: list[int] = []
 
     def add(self, t: dict) -> None:
         self.tokens.append(t)
-        middle = median((x["y1"] + x["y2"]) / 2 for x in self.tokens)
-        half = median(max(1, x["y2"] - x["y1"]) for x in self.tokens) / 2
-        self.top, self.bottom = _floor(middle - half), _ceil(middle + half)
+        insort(self.middles, (t["y1"] + t["y2"]) / 2)
+        insort(self.heights, max(1, t["y2"] - t["y1"]))
+        middle, half = _middle(self.middles), _middle(self.heights) / 2
+        self.top, self.bottom = int((middle - half) // 1), int(-(-(middle + half) // 1))
 
 
-def _floor(x: float) -> int:
-    return int(x // 1)
-
-
-def _ceil(x: float) -> int:
-    return -int(-x // 1)
+def _middle(x: list) -> float:
+    """The median of a sorted list."""
+    n = len(x)
+    return x[n // 2] if n % 2 else (x[n // 2 - 1] + x[n // 2]) / 2
 
 
 def cluster(tokens: list[dict], overlap: float = OVERLAP) -> list[list[dict]]:
-    """Lines of tokens: top to bottom, each token joins the line it overlaps most (0.6 of the smaller height or more)."""
+    """Lines of tokens: top to bottom, each token joins the line it overlaps most (0.6 of the smaller height or more).
+
+    Tokens come by their middles, so a line that ends above all that the tallest token could still reach is not looked at again.
+    """
     groups: list[_Group] = []
+    near: list[_Group] = []
+    tallest = max((t["y2"] - t["y1"] for t in tokens), default=0)
     for t in sorted(tokens, key=lambda t: ((t["y1"] + t["y2"]) / 2, t["x1"], t["token_id"])):
         best, most = None, 0.0
         height = max(1, t["y2"] - t["y1"])
-        for g in groups:
+        reach = (t["y1"] + t["y2"]) / 2 - tallest / 2
+        if near and near[0].bottom < reach:
+            near = [g for g in near if g.bottom >= reach]
+        for g in near:
             shared = min(t["y2"], g.bottom) - max(t["y1"], g.top)
             share = max(0, shared) / min(height, max(1, g.bottom - g.top))
             if share >= overlap and share > most:
@@ -110,6 +119,7 @@ def cluster(tokens: list[dict], overlap: float = OVERLAP) -> list[list[dict]]:
         if best is None:
             best = _Group()
             groups.append(best)
+            near.append(best)
         best.add(t)
     ordered = [sorted(g.tokens, key=lambda t: (t["x1"], t["y1"], t["token_id"])) for g in groups]
     return [g for _, _, _, g in sorted((min(t["y1"] for t in g), min(t["x1"] for t in g), i, g) for i, g in enumerate(ordered))]
@@ -166,8 +176,13 @@ def token_intervals(lines_df: DataFrame) -> DataFrame:
 
 def tokens_of(matches: DataFrame, intervals: DataFrame) -> DataFrame:
     """Each match (``doc_id, raw_start, raw_end``) with the tokens whose characters it meets, in reading order."""
-    m, t = matches.withColumn("_m", F.monotonically_increasing_id()).alias("m"), intervals.alias("t")
+    m, t = matches.distinct().alias("m"), intervals.alias("t")
     hit = (F.col("m.doc_id") == F.col("t.doc_id")) & (F.col("t.raw_start") < F.col("m.raw_end")) & (F.col("m.raw_start") < F.col("t.raw_end"))
-    ids = m.join(t, hit).groupBy("m._m").agg(F.array_sort(F.collect_list(F.struct("t.raw_start", "t.token_id"))).alias("_t")).select(F.col("_m"), F.transform("_t", lambda x: x["token_id"]).alias("token_ids"))
-    return m.join(ids, "_m", "left").drop("_m")
-
+    own = [F.col(f"m.`{c}`").alias(c) for c in matches.columns]  # the row itself is the key: a number given to it could change when a task runs again
+    met = m.join(t, hit).select(*own, F.struct("t.raw_start", "t.token_id").alias("_at"))
+    ids = met.groupBy(*matches.columns).agg(F.array_sort(F.collect_list("_at")).alias("_t")).withColumn("token_ids", F.transform("_t", lambda x: x["token_id"])).drop("_t")
+    a, b = matches.alias("a"), ids.alias("b")
+    same = F.lit(True)
+    for c in matches.columns:
+        same = same & F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`"))
+    return a.join(b, same, "left").select(*(F.col(f"a.`{c}`").alias(c) for c in matches.columns), F.col("b.token_ids").alias("token_ids"))

@@ -50,6 +50,11 @@ def rectangles(spans: DataFrame, images: DataFrame, padding: int = 2) -> DataFra
     return listed.select("doc_id", F.posexplode("rs").alias("n", "x")).select("doc_id", "n", "x.r.*")
 
 
+def of_run(final: DataFrame, images: DataFrame, padding: int = 2) -> DataFrame:
+    """The rectangles of a run's final spans (``doc_id, seq, boxes``) on their images; spans without boxes, as in plain texts, draw nothing."""
+    return rectangles(final.where(F.size("boxes") > 0).select("doc_id", "seq", "boxes"), images, padding)
+
+
 def summary(spans: DataFrame, drawn: DataFrame) -> DataFrame:
     """Spans and rectangles drawn of each document."""
     a = spans.groupBy("doc_id").agg(F.count("*").alias("span_count"))

@@ -6,8 +6,10 @@ The model itself is a provider: any function from views to a table of token pred
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +77,51 @@ def distinct_inference(views: DataFrame, provider: Provider) -> DataFrame:
     return keyed.select("doc_id", "view_id", F.xxhash64("_text").alias("_id")).join(found.drop("doc_id").withColumnRenamed("view_id", "_id"), "_id").drop("_id")
 
 
+LOGITS = "doc_id long, view_id long, seq int, entity string, bio string, start int, stop int, text string, confidence double"
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=-1, keepdims=True))
+    return e / e.sum(axis=-1, keepdims=True)
+
+
+def named_tokens(text: str, offsets: Iterable[tuple[int, int]], logits: np.ndarray, labels: tuple[str, ...] = LABELS) -> list[tuple]:
+    """(seq, entity, bio, start, stop, text, confidence) of the tokens with a label: the likeliest one and its probability.
+
+    Tokens without characters, as a model's own signs, and those outside any entity have none.
+    """
+    out = []
+    p = softmax(np.asarray(logits, float)) if len(logits) else np.zeros((0, len(labels)))
+    for (start, stop), row in zip(offsets, p, strict=True):
+        best = int(row.argmax())
+        if stop > start and labels[best] != "O":
+            bio, entity = labels[best].split("-", 1)
+            out.append((len(out), entity, bio, int(start), int(stop), text[start:stop], float(row[best])))
+    return out
+
+
+def logits_provider(load: Callable[[], Callable[[list[str]], list[tuple]]], labels: tuple[str, ...] = LABELS) -> Provider:
+    """A provider for a model that gives offsets and logits.
+
+    ``load`` makes the model; it runs once for each worker's stream of batches, not for each batch. The model takes texts
+    and returns (offsets, logits) for each.
+    """
+
+    def provider(views: DataFrame) -> DataFrame:
+        schema = pa.schema([("doc_id", pa.int64()), ("view_id", pa.int64()), ("seq", pa.int32()), ("entity", pa.string()), ("bio", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("text", pa.string()), ("confidence", pa.float64())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = load()
+            for batch in batches:
+                docs, ids, texts = (c.to_pylist() for c in batch.columns)
+                rows = [(d, v, *t) for d, v, text, (offsets, logits) in zip(docs, ids, texts, model(texts), strict=True) for t in named_tokens(text, offsets, logits, labels)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        return views.select(F.col("doc_id").cast("long"), F.col("view_id").cast("long"), "text").where("text is not null").mapInArrow(run, LOGITS)
+
+    return provider
+
+
 def stub_provider(views: DataFrame) -> DataFrame:
     """A stand-in for a model, without weights: capitalised words behind a title count as a name."""
     from veilgrid.functions.offsets import located

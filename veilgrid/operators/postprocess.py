@@ -105,19 +105,49 @@ def extension(lines: list[dict], token_ids: list[int], most: int = 3) -> list[in
     return out
 
 
+def grown(lines: list[dict], token_ids: list[int]) -> dict | None:
+    """All that changes in an address span that grows over its units; null where it does not."""
+    ids = extension(lines, token_ids)
+    if len(ids) <= len(token_ids):
+        return None
+    chosen, at, places, tokens, held = set(ids), 0, [], {}, []
+    for line in lines:
+        for k, t in enumerate(line["tokens"]):
+            at += k > 0  # tokens are joined by a space, lines by their end
+            if t["token_id"] in chosen:
+                places.append((at, at + len(t["text"])))
+                tokens[t["token_id"]] = t
+                if line["line_id"] not in held:
+                    held.append(line["line_id"])
+            at += len(t["text"])
+        at += 1
+    text = " ".join(tokens[i]["text"].strip() for i in ids).strip()
+    return {
+        "text": text, "normalized_text": "".join(map(searchable, text)), "raw_start": min(a for a, _ in places), "raw_end": max(z for _, z in places), "token_ids": ids, "line_ids": held,
+        "boxes": [{k: tokens[i][k] for k in ("x1", "y1", "x2", "y2")} for i in ids], "ocr_confidence": min(tokens[i]["confidence"] for i in ids),
+    }
+
+
+GROWN = "struct<text:string,normalized_text:string,raw_start:int,raw_end:int,token_ids:array<int>,line_ids:array<int>,boxes:array<struct<x1:int,y1:int,x2:int,y2:int>>,ocr_confidence:double>"
+
+
 def extend_addresses(spans: DataFrame, docs: DataFrame) -> DataFrame:
-    """Address spans grown over their units. The walk down the lines keeps state, hence an Arrow function.
+    """Address spans grown over their units, in every column. The walk down the lines keeps state, hence an Arrow function.
 
-    ``docs`` has ``doc_id, lines``; spans need ``token_ids`` and ``evidence``, and get ``token_ids`` and evidence of the growth.
+    ``docs`` has ``doc_id, lines``.
     """
+    box = pa.struct([(k, pa.int32()) for k in ("x1", "y1", "x2", "y2")])
+    kind = pa.struct([("text", pa.string()), ("normalized_text", pa.string()), ("raw_start", pa.int32()), ("raw_end", pa.int32()), ("token_ids", pa.list_(pa.int32())), ("line_ids", pa.list_(pa.int32())), ("boxes", pa.list_(box)), ("ocr_confidence", pa.float64())])
 
-    @F.arrow_udf("array<int>")
-    def grown(lines: pa.Array, tokens: pa.Array) -> pa.Array:
-        return pa.array([extension(a or [], b or []) for a, b in zip(lines.to_pylist(), tokens.to_pylist(), strict=True)], pa.list_(pa.int32()))
+    @F.arrow_udf(GROWN)
+    def wider(lines: pa.Array, tokens: pa.Array) -> pa.Array:
+        return pa.array([grown(a or [], b or []) for a, b in zip(lines.to_pylist(), tokens.to_pylist(), strict=True)], kind)
 
     address = spans.where("entity_type = 'address'").join(docs.select("doc_id", "lines"), "doc_id")
-    wider = address.withColumn("_new", grown("lines", F.col("token_ids").cast("array<int>")))
-    more = F.size("_new") > F.size("token_ids")
-    told = F.when(more, F.array_distinct(F.concat("evidence", F.array(F.lit("postprocess:address_unit_continuation"))))).otherwise(F.col("evidence"))
-    done = wider.withColumn("evidence", told).withColumn("token_ids", F.when(more, F.col("_new")).otherwise(F.col("token_ids"))).select(*spans.columns)
+    new = address.withColumn("_new", wider("lines", F.col("token_ids").cast("array<int>")))
+    more = F.col("_new").isNotNull()
+    told = F.array_distinct(F.concat("evidence", F.array(F.lit("postprocess:address_unit_continuation"))))
+    own = {c: F.when(more, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in ("text", "normalized_text", "raw_start", "raw_end", "token_ids", "line_ids", "boxes", "ocr_confidence")}
+    own["evidence"] = F.when(more, told).otherwise(F.col("evidence")).alias("evidence")
+    done = new.select(*(own.get(c, F.col(c)) for c in spans.columns))
     return spans.where("entity_type <> 'address' or entity_type is null").unionByName(done)

@@ -1,7 +1,7 @@
 """From matches to final spans: mapping, containment, fragments, places and overlaps.
 
 Columns of a span table: ``doc_id, seq`` (order of arrival), ``entity_type, text, normalized_text, raw_start, raw_end,
-token_ids, line_ids, detector_confidence, ocr_confidence, rule_id, review_required, risk_level, evidence``. Steps only use the
+token_ids, line_ids, boxes, detector_confidence, ocr_confidence, rule_id, review_required, risk_level, evidence``. Steps only use the
 columns they need and carry all others along. Everything is partitioned by document.
 """
 
@@ -109,9 +109,25 @@ def deduplicate(spans: DataFrame) -> DataFrame:
 
 
 def cross_line_close(a: Column, b: Column) -> Column:
-    """Whether two boxes on neighbouring lines belong together: 2.5 heights down, 4 heights across."""
+    """Whether two boxes on neighbouring lines belong together: 2.5 heights down at most, and left or right edges 4 heights apart at most."""
     height = F.greatest(a["y2"] - a["y1"], b["y2"] - b["y1"], F.lit(1))
-    return (b["y1"] - a["y2"] <= height * 2.5) & (F.least(F.abs(b["x1"] - a["x1"]), F.abs(b["x1"] - a["x2"])) <= height * 4)
+    return (b["y1"] - a["y2"] <= height * 2.5) & (F.least(F.abs(b["x1"] - a["x1"]), F.abs(b["x2"] - a["x2"])) <= height * 4)
+
+
+def hull(boxes: Column) -> Column:
+    """The box round some boxes; null for none."""
+    edge = lambda k, f: f(F.transform(boxes, lambda b: b[k]))
+    return F.when(F.size(boxes) > 0, F.struct(edge("x1", F.array_min).alias("x1"), edge("y1", F.array_min).alias("y1"), edge("x2", F.array_max).alias("x2"), edge("y2", F.array_max).alias("y2")))
+
+
+def source(rule_id: Column) -> Column:
+    """What found a span: a rule, the surroundings, the model, or another provider by its name."""
+    return F.when(rule_id.startswith("rule:"), "rule").when(rule_id.startswith("context:"), "context").when(rule_id.startswith("ner:"), "model").otherwise(F.regexp_extract(rule_id, "^([^:]*)", 1))
+
+
+def low_confidence(tokens: DataFrame, least: float = 0.8) -> DataFrame:
+    """Tokens (``doc_id, tokens``) that recognition was less sure of than ``least``: what to look at before trusting a result."""
+    return tokens.select("doc_id", F.explode(F.filter("tokens", lambda t: t["confidence"] < least)).alias("t")).select("doc_id", "t.token_id", "t.text", "t.confidence")
 
 
 def trace(matches: DataFrame, final: DataFrame) -> DataFrame:

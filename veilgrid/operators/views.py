@@ -140,11 +140,12 @@ def recovered(view: Column, tolerant: bool) -> Column:
 
 
 def colon_windows(lines: DataFrame, before: int = 5, after: int = 10) -> DataFrame:
-    """Token windows round a token that holds a colon: up to ``before`` tokens of label, up to ``after`` of value."""
+    """Token windows round a token that holds a colon: one to ``before`` tokens of label, one to ``after`` of value."""
     at = F.posexplode("ready").alias("c", "tok")
     rows = lines.select("doc_id", "line_id", "ready", at).where(F.col("tok.text").rlike("[:：]"))
-    starts = rows.withColumn("a", F.explode(F.sequence(F.greatest(F.col("c") - before, F.lit(0)), F.col("c"))))
-    ends = starts.withColumn("z", F.explode(F.sequence(F.col("c") + 1, F.least(F.col("c") + 1 + after, F.size("ready")))))
+    rows = rows.where((F.col("c") > 0) & (F.col("c") + 2 <= F.size("ready")))
+    starts = rows.withColumn("a", F.explode(F.sequence(F.greatest(F.col("c") - before, F.lit(0)), F.col("c") - 1)))
+    ends = starts.withColumn("z", F.explode(F.sequence(F.col("c") + 2, F.least(F.col("c") + 1 + after, F.size("ready")))))
     return ends.select("doc_id", "line_id", F.array("line_id").alias("line_ids"), F.slice("ready", F.col("a") + 1, F.col("z") - F.col("a")).alias("ready")).distinct()
 
 

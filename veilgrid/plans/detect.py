@@ -6,7 +6,7 @@ model and a policy over either. Everything is a DataFrame; no step collects.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,35 +15,38 @@ from veilgrid.operators import catalog, layout, ner, policy, postprocess, spans,
 from veilgrid.operators.policy import Policy
 from veilgrid.session import kept
 
-SPAN_COLUMNS = ("doc_id", "seq", "entity_type", "text", "normalized_text", "raw_start", "raw_end", "token_ids", "line_ids", "detector_confidence", "ocr_confidence", "rule_id", "review_required", "risk_level", "evidence")
+SPAN_COLUMNS = ("doc_id", "seq", "entity_type", "text", "normalized_text", "raw_start", "raw_end", "token_ids", "line_ids", "detector_confidence", "ocr_confidence", "rule_id", "review_required", "risk_level", "evidence", "boxes")
 
-
-SPAN_TYPES = "doc_id long, seq long, entity_type string, text string, normalized_text string, raw_start int, raw_end int, token_ids array<int>, line_ids array<int>, detector_confidence double, ocr_confidence double, rule_id string, review_required boolean, risk_level int, evidence array<string>"
+BOXES = "array<struct<x1:int,y1:int,x2:int,y2:int>>"
+SPAN_TYPES = "doc_id long, seq long, entity_type string, text string, normalized_text string, raw_start int, raw_end int, token_ids array<int>, line_ids array<int>, detector_confidence double, ocr_confidence double, rule_id string, review_required boolean, risk_level int, evidence array<string>, boxes array<struct<x1:int,y1:int,x2:int,y2:int>>"
 
 
 def text_spans(docs: DataFrame, relaxed: bool = False, as_of: str = catalog.AS_OF, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] | None = None) -> DataFrame:
     """Raw spans of plain texts: each match is one span whose token is its own start.
 
-    With ``categories`` only their rules run, so no other category can take a place from them; a policy detects all first.
+    With ``categories`` only their rules run. That is a faster path to ask for, not an equal one: a rule of another category may
+    take a place from them when all run, as in :func:`ocr_spans`, which always detects all first.
     """
     m = catalog.detect(docs, categories, relaxed, as_of, id_col, text_col)
     return m.select(
         "doc_id", F.col("seq").cast("long").alias("seq"), F.col("category").alias("entity_type"), F.col("value").alias("text"), F.regexp_replace("value", "\\s", "").alias("normalized_text"),
-        F.col("start").alias("raw_start"), F.col("stop").alias("raw_end"), F.array("start").alias("token_ids"), F.array().cast("array<int>").alias("line_ids"),
+        F.col("start").alias("raw_start"), F.col("stop").alias("raw_end"), F.array("start").alias("token_ids"), F.array().cast("array<int>").alias("line_ids"), F.from_json(F.lit("[]"), BOXES).alias("boxes"),
         F.col("confidence").alias("detector_confidence"), F.lit(1.0).alias("ocr_confidence"), F.concat(F.lit("rule:"), F.col("label")).alias("rule_id"), F.lit(False).alias("review_required"), F.col("risk").alias("risk_level"), "evidence",
     )
 
 
-def _found(view_rows: DataFrame, relaxed: bool, as_of: str, person_labels: tuple[str, ...]) -> DataFrame:
-    """Matches of all rules, and of the structure rules in their own modes, in views."""
-    fixed = kept(view_rows.where("mode not in ('address_field', 'structured_block')").withColumn("_text", structure.prepared(F.col("text"))), "prepared")
+def _found(view_rows: DataFrame, lines_df: DataFrame, relaxed: bool, as_of: str, person_labels: tuple[str, ...]) -> DataFrame:
+    """Matches of all rules, and of the structure rules in their own modes, in views. Only address and person rules read repaired texts."""
+    plain = view_rows.where("mode not in ('address_field', 'structured_block')")
+    fixed = kept(plain.withColumns({"_address": structure.address_text(F.col("text")), "_person": structure.person_text(F.col("text"))}), "prepared")
+    instead = {"address": F.col("_address"), "person_name": F.col("_person")}
     regular = None
     for rules in catalog.rule_groups(relaxed):  # a few rules at a time: one expression of all would be too large to compile
-        found = F.filter(catalog.applied(F.col("_text"), rules, as_of), lambda m: F.array_contains("allowed", m["category"]))
+        found = F.filter(catalog.applied(F.col("text"), rules, as_of, instead), lambda m: F.array_contains("allowed", m["category"]))
         part = fixed.withColumn("m", F.explode(found))
-        end = structure.address_tail(F.col("_text"), F.col("m.stop"))
-        longer = F.col("m").withField("stop", end).withField("value", F.col("text").substr(F.col("m.start") + 1, end - F.col("m.start")))
-        part = part.withColumn("m", F.when(F.col("m.category") == "address", longer).otherwise(F.col("m"))).drop("_text")
+        if any(r.category == "address" for r in rules):
+            part = part.where("m.category <> 'address'").unionByName(_with_tails(part.where("m.category = 'address'"), lines_df))
+        part = part.drop("_address", "_person")
         regular = part if regular is None else regular.unionByName(part)
     if person_labels:
         named = F.transform(structure.labelled_persons(F.col("text"), person_labels), lambda p: F.struct(F.lit("CUSTOM_PERSON_FIELD").alias("label"), F.lit("person_name").alias("category"), p["start"].alias("start"), p["stop"].alias("stop"), p["value"].alias("value"), F.lit(structure.LABELLED).alias("confidence"), F.lit(catalog.MEDIUM).alias("risk"), F.array(F.lit("structure:custom-person-field"), F.concat(F.lit("field:"), p["label"])).alias("evidence")))
@@ -61,16 +64,36 @@ def _found(view_rows: DataFrame, relaxed: bool, as_of: str, person_labels: tuple
     return regular.unionByName(structured).unionByName(address)
 
 
+def _with_tails(rows: DataFrame, lines_df: DataFrame) -> DataFrame:
+    """Addresses with the units and the parenthesis behind them; on the next line these must begin within 3 heights of the address's left edge."""
+    end = structure.address_tail(F.col("_address"), F.col("m.stop"))
+    rows = rows.withColumn("_end", end).withColumn("_break", F.instr(F.col("text").substr(F.col("m.stop") + 1, F.col("_end") - F.col("m.stop")), "\n"))
+    first = lambda a, start, stop: F.get(F.filter(F.slice(a, start + 1, stop - start), lambda x: x.isNotNull()), F.lit(0))
+    rows = rows.withColumn("_a", first(F.col("char_token"), F.col("m.start"), F.col("m.stop"))).withColumn("_b", F.when(F.col("_break") > 0, first(F.col("char_token"), F.col("m.stop") + F.col("_break"), F.col("_end"))))
+    over = rows.where("_break > 0")
+    box = lines_df.select("doc_id", F.explode("tokens").alias("t")).select("doc_id", F.col("t.token_id").alias("_t"), F.struct("t.x1", F.greatest(F.col("t.y2") - F.col("t.y1"), F.lit(1)).alias("h")).alias("_box"))
+    for k in ("_a", "_b"):
+        over = over.join(box.withColumnRenamed("_t", k).withColumnRenamed("_box", f"{k}_box"), ["doc_id", k], "left")
+    near = F.abs(F.col("_b_box.x1") - F.col("_a_box.x1")) <= 3 * F.greatest(F.col("_a_box.h"), F.col("_b_box.h"))
+    over = over.withColumn("_end", F.when(F.coalesce(near, F.lit(False)), F.col("_end")).otherwise(F.col("m.stop"))).drop("_a_box", "_b_box")
+    both = rows.where("_break = 0").unionByName(over)
+    longer = F.col("m").withField("stop", F.col("_end")).withField("value", F.col("text").substr(F.col("m.start") + 1, F.col("_end") - F.col("m.start")))
+    return both.withColumn("m", longer).drop("_end", "_break", "_a", "_b")
+
+
 def spans_from(matched: DataFrame, lines_df: DataFrame) -> DataFrame:
     """Matches in views (``m``) to spans of the document, with tokens, lines, text and the least OCR confidence.
 
-    Matches of two-line views must go over the line's end, with both ends close; those of one line always count.
+    A match of a two-line view must reach its second line, as views of one line have all others, and what it has on both lines must
+    be close: where it has nothing on the first, all of that line is its label.
     """
     placed = matched.withColumn("p", spans.map_span(F.col("char_raw"), F.col("char_token"), F.col("m.start"), F.col("m.stop"))).where("p is not null")
-    over = F.contains(F.col("text").substr(F.col("m.start") + 1, F.col("m.stop") - F.col("m.start")), F.lit("\n")) | (F.size("line_ids") != 2) | ~F.col("mode").isin("token_spaced", "format_compact", "format_recovered", "format_ocr_tolerant")
-    placed = placed.where(over)
+    paired = (F.size("line_ids") == 2) & F.col("mode").isin("token_spaced", "format_compact", "format_recovered", "format_ocr_tolerant")
+    ends = F.instr("text", "\n") - 1
+    placed = placed.withColumn("_pair", paired).where(~F.col("_pair") | ((ends >= 0) & (F.col("m.stop") > ends)))
     tokens = lines_df.select("doc_id", "line_id", F.explode("tokens").alias("t"))
-    raw = lines_df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_id", "text"))).alias("_l")).select("doc_id", F.array_join(F.transform("_l", lambda x: x["text"]), "\n").alias("raw"))
+    line = F.struct("line_id", "text", spans.hull(F.transform("tokens", lambda t: F.struct(t["x1"].alias("x1"), t["y1"].alias("y1"), t["x2"].alias("x2"), t["y2"].alias("y2")))).alias("box"))
+    raw = lines_df.groupBy("doc_id").agg(F.array_sort(F.collect_list(line)).alias("_l")).select("doc_id", "_l", F.array_join(F.transform("_l", lambda x: x["text"]), "\n").alias("raw"))
     keyed = placed.withColumn("_id", F.xxhash64("doc_id", "mode", "char_raw", "m"))
     at = keyed.select("doc_id", "_id", F.posexplode("p.token_ids").alias("k", "token_id")).distinct()
     boxed = at.join(tokens.select("doc_id", "line_id", F.col("t.token_id").alias("token_id"), F.col("t.confidence").alias("confidence"), F.struct("t.x1", "t.y1", "t.x2", "t.y2").alias("box"), F.col("t.text").alias("token_text")), ["doc_id", "token_id"])
@@ -80,13 +103,13 @@ def spans_from(matched: DataFrame, lines_df: DataFrame) -> DataFrame:
     apart = F.col("mode").isin("address_field", "table_field", "table_field_compact")
     text = F.when(apart, F.array_join(F.transform("_b", lambda b: b["token_text"]), " ")).otherwise(F.col("raw").substr(F.col("p.raw_start") + 1, F.col("p.raw_end") - F.col("p.raw_start")))
     lines = F.array_distinct(F.transform("_b", lambda b: b["line_id"]))
-    first = F.get(F.filter("_b", lambda b: b["line_id"] == F.element_at(lines, 1)), F.lit(0))["box"]
-    last = F.get(F.filter("_b", lambda b: b["line_id"] == F.element_at(lines, -1)), F.lit(0))["box"]
-    close = (F.size(lines) < 2) | (F.size("line_ids") != 2) | spans.cross_line_close(first, last)
-    rows = rows.where(close)
+    on = lambda k: spans.hull(F.transform(F.filter("_b", lambda b: b["line_id"] == F.try_element_at("line_ids", F.lit(k))), lambda b: b["box"]))
+    whole = F.get(F.filter("_l", lambda x: x["line_id"] == F.try_element_at("line_ids", F.lit(1))), F.lit(0))["box"]
+    close = spans.cross_line_close(F.coalesce(on(1), whole), on(2))
+    rows = rows.where(~F.col("_pair") | F.coalesce(close, F.lit(False)))
     return rows.select(
         "doc_id", F.xxhash64("_id", "view_id").alias("seq"), F.col("m.category").alias("entity_type"), text.alias("text"), F.col("m.value").alias("normalized_text"), F.col("p.raw_start").alias("raw_start"), F.col("p.raw_end").alias("raw_end"),
-        F.col("p.token_ids").alias("token_ids"), lines.alias("line_ids"), F.col("m.confidence").alias("detector_confidence"), F.array_min(F.transform("_b", lambda b: b["confidence"])).alias("ocr_confidence"),
+        F.col("p.token_ids").alias("token_ids"), lines.alias("line_ids"), F.transform("_b", lambda b: b["box"]).alias("boxes"), F.col("m.confidence").alias("detector_confidence"), F.array_min(F.transform("_b", lambda b: b["confidence"])).alias("ocr_confidence"),
         F.concat(F.when(F.col("mode").isin("structured_block", "address_field"), "context:").otherwise("rule:"), F.col("m.label")).alias("rule_id"), F.lit(False).alias("review_required"), F.col("m.risk").alias("risk_level"), F.col("m.evidence").alias("evidence"),
     )
 
@@ -134,7 +157,7 @@ def address_views(lines_df: DataFrame, ready: DataFrame, labels: tuple[str, ...]
     A label alone on its line takes the next line as its value. Labels of six or more characters may be one edit off;
     in tolerant mode shorter ones may lack or repeat one.
     """
-    from veilgrid.functions.labels import ADDRESS_STOPS
+    from veilgrid.functions.labels import ADDRESS_STOPS, PLACE_ENDS, ROAD_ENDS, UNIT_ENDS
     from veilgrid.functions.normalize import label_text
 
     block = views.blocks(ready, 1)
@@ -161,10 +184,14 @@ def address_views(lines_df: DataFrame, ready: DataFrame, labels: tuple[str, ...]
     rest = F.slice("ready", F.col("_a") + F.col("_k") + 1, F.size("ready"))
     lead = F.filter(F.transform(rest, lambda t, i: F.struct(i.alias("i"), t["text"].rlike("(?U)\\p{Alnum}").alias("v"))), lambda x: x["v"])
     rest = F.when(F.size(lead) > 0, F.slice(rest, F.get(lead, F.lit(0))["i"] + 1, F.size(rest)))
-    stop = "^.{0,4}(?:" + "|".join(ADDRESS_STOPS) + ")"
-    day = "^(?:19|20)[0-9]{2}(?:[-./][0-9]{1,2}){2}$"
+    stop = "^.{0,4}" + structure.one_of(ADDRESS_STOPS)
+    day = "^(?:19|20)\\d\\d(?:[-./]\\d{1,2}){2}$"
     starts_value = F.get(F.col("_rest"), F.lit(0))["line_id"]
-    unit = "^(?:[0-9]+[-/][0-9]+|[0-9]+(?:[-/][0-9]+)?번지|[0-9]+(?:동|층|호)[A-Za-z가-힣0-9]{0,30}|[A-Za-z가-힣0-9]{1,30}(?:대로|번길|로|길)[0-9]+(?:-[0-9]+)?|[A-Za-z가-힣0-9]{1,30}(?:특별시|광역시|특별자치시|특별자치도|시|군|구|읍|면|동|리|대로|번길|로|길|아파트|빌딩|타워|센터|오피스텔|상가|플라자))$"
+    word = "[A-Za-z가-힣0-9]{1,30}"
+    number, lot = "\\d+[-/]\\d+", "\\d+(?:[-/]\\d+)?번지"
+    inside = f"\\d+{structure.one_of(UNIT_ENDS)}[A-Za-z가-힣0-9]{{0,30}}"
+    road = f"{word}{structure.one_of((*ROAD_ENDS, '번길'))}\\d+(?:-\\d+)?"
+    unit = f"^(?:{number}|{lot}|{inside}|{road}|{word}{structure.one_of(PLACE_ENDS)})$"
     first_of = lambda n: F.get(F.filter("_rest", lambda t: (t["line_id"] == starts_value + n) & t["text"].rlike("(?U)\\p{Alnum}")), F.lit(0))["text"]
     follows = lambda n: F.coalesce(F.regexp_replace(first_of(n), "(?U)[^\\p{Alnum}/-]", "").rlike(unit), F.lit(False))
     lines_on = F.when(~follows(1), 0).when(~follows(2), 1).otherwise(2)
@@ -180,7 +207,7 @@ def ocr_spans(docs: DataFrame, chosen: Policy, as_of: str = catalog.AS_OF) -> Da
     lines_df = kept(layout.placed_lines(docs), "lines")
     ready = kept(views.ready_lines(lines_df), "ready")
     seen = kept(all_views(lines_df, ready, chosen), "views")
-    matched = kept(_found(seen, not chosen.checksum, as_of, chosen.person_labels), "matches")
+    matched = kept(_found(seen, lines_df, not chosen.checksum, as_of, chosen.person_labels), "matches")
     final = kept(spans.deduplicate(kept(spans_from(matched, lines_df), "raw-spans")), "spans")
     grown = postprocess.extend_addresses(final, docs)
     return postprocess.checked(grown, docs.select("doc_id", layout.raw_text().alias("raw")))
@@ -208,6 +235,7 @@ class Run:
     final: DataFrame
     decisions: DataFrame
     ner_plan: DataFrame
+    problem: str = ""
 
 
 def decide(docs: DataFrame, rule_spans: DataFrame, model_spans: DataFrame, chosen: Policy) -> Run:
@@ -223,15 +251,25 @@ def decide(docs: DataFrame, rule_spans: DataFrame, model_spans: DataFrame, chose
     return Run(rule_spans, model_spans, final, policy.decisions(both, final), plan)
 
 
-def run(docs: DataFrame, chosen: Policy, provider: ner.Provider | None = None, as_of: str = catalog.AS_OF) -> Run:
-    """Rules, the model where it is wanted, and the policy over documents with ``lines``."""
+def run(docs: DataFrame, chosen: Policy, provider: ner.Provider | None = None, as_of: str = catalog.AS_OF, fall_back: bool = False) -> Run:
+    """Rules, the model where it is wanted, and the policy over documents with ``lines``.
+
+    With ``fall_back`` a model that fails leaves the spans of the rules, and its message in ``problem``; where
+    only the model was asked for there are none, so that results mean what they say.
+    """
     rules = kept(ocr_spans(docs, chosen, as_of), "rule-spans") if policy.runs_rules(chosen) else None
     if rules is None:
         rules = docs.sparkSession.createDataFrame([], SPAN_TYPES)
     wants = bool(policy.ner_targets(chosen)) and chosen.execution != "rules_only" and provider is not None
     if wants:
         model_docs = docs.join(policy.ner_wanted(chosen, docs, rules).where("run_ner").select("doc_id"), "doc_id", "left_semi")
-        model = kept(ner_spans(model_docs, chosen, provider, as_of), "ner-spans")
+        try:
+            model = kept(ner_spans(model_docs, chosen, provider, as_of), "ner-spans")  # runs the model, so its errors show here
+        except Exception as e:
+            if not fall_back:
+                raise
+            done = decide(docs, rules, rules.limit(0), replace(chosen, execution="rules_only") if chosen.execution != "ner_only" else chosen)
+            return replace(done, problem=str(e).splitlines()[0] if str(e) else type(e).__name__)
     else:
         model = rules.limit(0)
     return decide(docs, rules, model, chosen)

