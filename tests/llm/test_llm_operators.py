@@ -560,12 +560,6 @@ def test_near_duplicates_of_a_long_path(spark):
     assert out.agg(F.count("*"), F.countDistinct("cid"), F.min("label"), F.max("label")).first() == (5001, 5001, 0, 0)
 
 
-def test_near_duplicates_with_hot_nodes(spark, monkeypatch, rows):
-    """Nodes joined by themselves give the same rows."""
-    monkeypatch.setattr(near_dup, "hot_nodes", lambda sizes, total: sizes.where(F.col("n") > 2).select("node"))
-    assert got(near_dup.digest(frame(spark, rows)), 4) == sorted(plain.near_duplicates(rows))
-
-
 def test_near_duplicates_tell_clashing_classes_apart(spark, monkeypatch, rows):
     """Sets that share the first number of their class are different classes."""
     real = near_dup.class_of
