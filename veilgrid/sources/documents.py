@@ -70,6 +70,13 @@ def corporate_number(front: str, tail: str) -> str:
     return f"{front}-{tail}{(10 - sum(a * b for a, b in zip(digits, CORPORATE_WEIGHTS, strict=True)) % 10) % 10}"
 
 
+def apart(front: str, seventh: str, tail: str) -> str:
+    """A registration number that is no corporate one as well: where both check digits fit, no rule can tell which it is."""
+    while (x := registration_number(front, seventh, tail)) == corporate_number(front, seventh + tail):
+        tail = f"{(int(tail) + 1) % 100_000:05d}"
+    return x
+
+
 RESIDENT, FOREIGNER, PASSPORT, LICENCE = evaluate.IDENTIFIERS
 
 #: The labels of the four identifiers.
@@ -83,8 +90,8 @@ def case_rows(each: int = 4) -> list[tuple[str, str, str, str, str, str]]:
     day that does not exist, a digit missing, inside longer numbers or words, and all kinds in one document.
     """
     made: dict[str, list[str]] = {
-        RESIDENT: [registration_number(f"{80 + i:02d}{1 + i % 9:02d}{10 + i % 18:02d}", str(1 + i % 2), f"{23456 + 1111 * i}"[:5]) for i in range(each)],
-        FOREIGNER: [registration_number(f"{81 + i:02d}{1 + i % 9:02d}{11 + i % 17:02d}", str(5 + i % 2), f"{12345 + 1313 * i}"[:5]) for i in range(each)],
+        RESIDENT: [apart(f"{80 + i:02d}{1 + i % 9:02d}{10 + i % 18:02d}", str(1 + i % 2), f"{23456 + 1111 * i}"[:5]) for i in range(each)],
+        FOREIGNER: [apart(f"{81 + i:02d}{1 + i % 9:02d}{11 + i % 17:02d}", str(5 + i % 2), f"{12345 + 1313 * i}"[:5]) for i in range(each)],
         PASSPORT: [("M", "S", "G")[i % 3] + f"{12345678 + 7654321 * i}"[:8] for i in range(each)],
         LICENCE: [f"{11 + i % 17}-{10 + 7 * i % 80:02d}-{123456 + 54321 * i}"[:12] + f"-{12 + i:02d}" for i in range(each)],
     }
