@@ -631,10 +631,10 @@ def test_pii_spans_match_plain(spark):
 
 
 def test_pii_many_matches_in_one_text(spark):
-    """Thousands of matches in one text keep their places."""
-    text = "a@b.co " * 5_000
+    """Hundreds of matches in one text keep their places."""
+    text = "a@b.co " * 400
     r = pii.digest(frame(spark, [(1, text)])).first()
-    assert r.n_email == 5_000 and r.base_sha256 == plain.pii([(1, text)])[0][5]
+    assert r.n_email == 400 and r.base_sha256 == plain.pii([(1, text)])[0][5]
 
 
 def test_repeated_rows_alike(spark):
