@@ -18,8 +18,8 @@ Base spans (valid e-mail addresses, IPv4 addresses, card and telephone numbers)
 decides on the rest. Positions are code points, end exclusive.
 
 Cases: a null or empty text has no spans. Repeated rows each get a row. Texts are read whole; patterns start only
-where a run of their characters starts and use possessive repeats, so long runs cost one pass; places are added up in blocks, which keeps texts with thousands of
-matches affordable. Without any candidate the classifier is never asked. An empty table gives an empty one. Other columns, whatever their names, are not read.
+where a run of their characters starts and use possessive repeats, so long runs cost one pass; places are added up in blocks of
+128, whose copying grows with the square of the matches in one text (4,000 took 9 s). Without any candidate the classifier is never asked. An empty table gives an empty one. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
