@@ -643,3 +643,41 @@ def test_repeated_rows_alike(spark):
     for out in (license_scan.scan(frame(spark, rows)), compression.score(frame(spark, rows)), pii.digest(frame(spark, rows))):
         got_rows = [tuple(r) for r in out.collect()]
         assert len(got_rows) == 3 and len(set(got_rows)) == 2
+
+
+def test_quality_ranking_learns_from_all_pairs():
+    """The slope of the loss over all pairs of a good and a bad row, added up one by one, is none; the quantiles are exact."""
+    rng = np.random.default_rng(36)
+    x = rng.normal(size=(300, len(quality.FEATURES)))
+    y = (x[:, 0] + x[:, 3] ** 2 / 2 + rng.normal(size=300) > 0.3).astype(int)
+    m = quality.fit(x, y)
+    z, w = quality.expand(x, np.array(m.mean), np.array(m.scale)), np.array(m.weights)
+    slope = quality.DEFAULT.decay * w
+    good, bad = z[y == 1], z[y == 0]
+    for a in good:
+        for b in bad:
+            slope -= (a - b) / (1 + np.exp((a - b) @ w)) / len(good) / len(bad)
+    assert np.abs(slope).max() < 1e-5
+    assert m.cut == pytest.approx(float(np.quantile(z @ w, float((y == 0).mean()))), abs=1e-12)
+    assert m.slope == pytest.approx(float(8 / (np.median(good @ w) - np.median(bad @ w))))
+
+
+def test_quality_ranking_learns_from_all_rows(spark, monkeypatch):
+    """More labelled rows than an earlier version took, in many passes and parts, give the model of the same rows in memory."""
+    import zlib
+
+    import zstandard
+
+    rng = random.Random(37)
+    rows = [(i, " ".join(rng.choices(VOCABULARY, k=rng.randrange(1, 9))) + "!*" * rng.randrange(1 + 2 * (i % 2))) for i in range(26_000)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "LISTED", 50)
+    model = quality.train(frame(spark, rows), labels)
+    compressor = zstandard.ZstdCompressor(level=3)
+    learned = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    x, y = np.array([quality.features(t.encode(), compressor) for _, t in learned]), np.array([1 - i % 2 for i, _ in learned])
+    assert len(x) > 20_000 and np.allclose(model.mean, x.mean(0), atol=1e-12)
+    want = quality.fit(x, y)
+    assert np.allclose(model.weights, want.weights, atol=1e-6) and model.slope == pytest.approx(want.slope, rel=1e-5)
+    s = model.strengths(x)
+    assert model.cut == pytest.approx(float(np.quantile(s, float((y == 0).mean()))), abs=1e-9)

@@ -52,8 +52,7 @@ def op8_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return quality.score(docs, quality.train(docs, tune(spark).read.parquet(f"{sf_dir}/labels.parquet")))
+    return quality.rank(documents(spark, sf_dir), tune(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
