@@ -681,3 +681,12 @@ def test_quality_ranking_learns_from_all_rows(spark, monkeypatch):
     assert np.allclose(model.weights, want.weights, atol=1e-6) and model.slope == pytest.approx(want.slope, rel=1e-5)
     s = model.strengths(x)
     assert model.cut == pytest.approx(float(np.quantile(s, float((y == 0).mean()))), abs=1e-9)
+
+
+def test_line_runs_are_cut_once(spark):
+    """Length and filter read the cut text; the cutting itself stands once in the plan."""
+    rows = [(1, "a b c d\ne f g h\nx"), (2, "a b c d\ne f g h"), (3, "y\na b c d\ne f g h"), (4, None), (5, "")]
+    docs = frame(spark, rows).withColumn("n_chars", F.length("text"))
+    out = line_dedup.dedup(docs, line_dedup.RUNS, drop_emptied=True)
+    assert str(out._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(1, rows[0][1], 17), (3, "y", 1), (4, None, None), (5, "", 0)]

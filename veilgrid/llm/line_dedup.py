@@ -163,7 +163,8 @@ def dedup(df: DataFrame, settings: Settings = DEFAULT, drop_emptied: bool = Fals
     With ``drop_emptied`` documents go that lost all their lines to others.
     """
     joined, cut = _marked(df, settings)
-    text = F.arrow_udf(_without, "string")(F.col("text"), F.col(f"{cut}.first"), F.col(f"{cut}.stop"))
+    # nondeterministic, so that the length and the filter read one result, not a second run in a second worker
+    text = F.arrow_udf(_without, "string").asNondeterministic()(F.col("text"), F.col(f"{cut}.first"), F.col(f"{cut}.stop"))
     out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(text))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
