@@ -690,3 +690,22 @@ def test_line_runs_are_cut_once(spark):
     out = line_dedup.dedup(docs, line_dedup.RUNS, drop_emptied=True)
     assert str(out._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") == 1
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(1, rows[0][1], 17), (3, "y", 1), (4, None, None), (5, "", 0)]
+
+
+def test_pii_patterns_are_few_files(spark, monkeypatch):
+    """Counts of votes and features are written in a file for each core at most, whatever the number of shuffle partitions."""
+    rows = [(i, f"mail a{i}@b.com call +1 212 555 01{i:02d} from 10.0.{i}.1 " + "x-" * (i % 5) + f"{i:032x}") for i in range(60)]
+    written = []
+    monkeypatch.setattr(common, "drop", lambda df: written.append((len(df.inputFiles()), df.agg(F.sum("n")).first()[0])))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = pii.candidates(frame(spark, rows))
+        pii.train(found)
+        n = found.select(F.sum(F.size("spans"))).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(written) == 1 and written[0][0] <= spark.sparkContext.defaultParallelism and written[0][1] == n > 200

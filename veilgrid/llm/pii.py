@@ -277,7 +277,9 @@ def train(found: DataFrame, max_patterns: int = 20_000) -> Classifier:
     named = [v.alias(n) for v, n in zip(votes(x), LABELERS, strict=True)] + [v.alias(f"f_{n}") for v, n in zip(features(x), FEATURES, strict=True)]
     flat = found.select(F.explode("spans").alias("x")).select(x["kind"].alias("kind"), *named)
     own = [f"f_{n}" for n in FEATURES]
-    patterns = common.stored(flat.groupBy("kind", *LABELERS, *own).agg(F.count("*").alias("n")), "pii-patterns")  # counts of names, no values
+    counted = flat.groupBy("kind", *LABELERS, *own).agg(F.count("*").alias("n"))  # counts of names, no values
+    # few rows: a file for each core at most, not for each shuffle partition, as on a local disk each file makes the executor start processes (chmod)
+    patterns = common.stored(counted.coalesce(found.sparkSession.sparkContext.defaultParallelism), "pii-patterns")
     rows = patterns.groupBy("kind", *LABELERS).agg(F.sum("n").alias("n")).orderBy("kind", *LABELERS).collect()  # kinds x 3^labelers rows at most
     counts = [(r["kind"], tuple(int(r[n]) for n in LABELERS), int(r["n"])) for r in rows]
     q, rates = estimate(counts)
